@@ -35,6 +35,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let at most ``rows`` rows go to a Python worker at once: texts are long, and the default of 10,000 suits numbers."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))
+
+
 def written(df: DataFrame, name: str = "part") -> DataFrame:
     """Cut the lineage of ``df``: write it to the shared folder and read it back.
 
