@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import minhash_dedup
+from pyspark.sql import functions as F
+
+from granary.llm import (
+    bestfit_packing,
+    html_wrappers,
+    language_id,
+    license_scan,
+    maxscore_search,
+    minhash_dedup,
+    quality_rules,
+    secret_scan,
+    sentencepiece_codec,
+    toxicity,
+)
 from granary.sources.tables import table
 
 
@@ -14,7 +27,70 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_minhash_dedup": op1_minhash_dedup}
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_labels(license_scan.license_findings(table(spark, sf_dir, "documents")))
+
+
+def op3_maxscore_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit_packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train())
+    secret = F.filter("findings", lambda f: f.secret)
+    return found.select(
+        "doc_id",
+        F.size("findings").cast("long").alias("n_candidates"),
+        F.size(secret).cast("long").alias("n_secrets"),
+        F.coalesce(F.array_max(F.transform("findings", lambda f: f.score)), F.lit(0.0)).alias("score"),
+        F.array_join(F.transform(secret, lambda f: F.concat_ws("-", f.start, f.end)), ",").alias("spans"),
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        "n_matches", "n_quoted", "n_misspelled",
+    )
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.quality_report(table(spark, sf_dir, "documents"))
+    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *[F.col(f"stats.{c}").alias(c) for c in own], "base_failed", "kept", "posterior")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_byte_tokens", F.xxhash64("ids").alias("ids_hash"), "round_trip"
+    )
+
+
+def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_wrappers.extract(pages, html_wrappers.wrappers(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_minhash_dedup, op2_license_scan, op3_maxscore_search, op4_bestfit_packing, op5_secret_scan, op6_toxicity,
+        op7_quality_rules, op8_sentencepiece, op9_html_wrappers, op10_language_id,
+    )
+}
 
 _WORDS_LOWER = (
     "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -41,5 +117,14 @@ m AS (SELECT x, min(y) AS least FROM r GROUP BY x)
 SELECT n.doc_id, n.n_shingles, coalesce(m.least, n.doc_id) AS component_id, n.doc_id = coalesce(m.least, n.doc_id) AS kept,
   CAST(CASE WHEN n.n_shingles > 0 THEN c.class_size ELSE 1 END AS BIGINT) AS class_size
 FROM n LEFT JOIN c ON c.fp = n.fp AND n.n_shingles > 0 LEFT JOIN m ON m.x = c.rep
+""",
+    "op3_maxscore_search": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """,
 }

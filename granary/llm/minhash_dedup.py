@@ -7,15 +7,20 @@ indexed under each choice of ``errors`` left-out symbols, and documents that sha
 defaults (10 chunks of 4, one error) all pairs at distance 19 of 40 or less are found; of pairs at similarity 0.75
 exactly, 1.5 in a million are farther apart in every chunk.
 
-No key's documents are paired with each other at large: documents with equal sets are one class from the start; within a
-key each class is first compared with the smallest class of that key only; confirmed links are merged; then only classes
-of one key that are still in different components, in blocks, are compared with each other.  So all links between
-components are found, and groups of copies cost one comparison a member.
+A class of equal sets is named by 64 of the 128 bits of its set's fingerprint (classes themselves are told apart by all
+128): among n classes n^2 / 2^65 pairs share a name by chance, 0.03 for a billion.
+
+No key's documents are paired with each other at large.  Documents with equal sets are one class from the start.  In each
+of a few rounds, every key that still holds several components picks one class as its leader (in another order each
+round), the leader is compared with the key's classes of other components, and confirmed links are merged: groups of
+copies cost some comparisons a member.  Then only what is still apart in one key is compared with each other, in blocks,
+each pair in the first of the keys that it shares.  So no link between components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,15 +30,21 @@ from pyspark.sql import functions as F
 
 from granary.llm.wordhash import mix, shingle_hashes, slices, word_hashes, words
 from granary.operators.components import connected_components
-from granary.session import forget, written
+from granary.session import forget, small_batches, written
 
 SHINGLE = 5
 SYMBOLS = 40
 CHUNK = 4
 ERRORS = 1
 THRESHOLD = 75
+#: Symbols of the signature in all; those beyond the index serve the last step.
+LENGTH = 120
+#: Rounds of leaders: in the first, all keys share one order of classes; later each key has its own in each round.
+ROUNDS = 2
+#: A set's sketch holds the hashes with as many leading zero bits as bring it to this many on average; small sets are whole.
+SKETCH = 512
 #: Classes of one key that are compared with each other in one group of rows.
-BLOCK = 256
+BLOCK = 2048
 
 _U = np.uint64
 _DIGESTS = "doc_id long, fp binary, n_shingles int, signature binary"
@@ -87,23 +98,40 @@ def _digest_batches(size: int, symbols: int):
     return run
 
 
+def _name(fp: bytes) -> int:
+    return int.from_bytes(fp[:8], "big", signed=True)
+
+
+def _level(n: int) -> int:
+    return max(0, -(-n // SKETCH) - 1).bit_length()
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    """Sorted 32-bit pieces of the hashes that start with ``_level`` zero bits."""
+    level = _level(len(s))
+    low = s[: np.searchsorted(s, _U(1 << (64 - level)))] if level else s
+    return np.unique((low >> _U(8)).astype(np.uint32)).tobytes()
+
+
 def _set_batches(size: int, wanted: bytes):
-    """Sets of the documents whose fingerprints may be wanted; others are left out before anything is shuffled."""
+    """Sets of the documents whose names may be wanted; others are left out before anything is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(wanted, np.uint8)
         for batch in batches:
             for _, sets in _sets(batch.column(0), size):
-                out = [(xxhash.xxh3_128_digest(s.tobytes()), s) for s in sets if len(s)]
-                out = [(fp, s) for fp, s in out if bits[(p := _place(fp)) >> 3] >> (p & 7) & 1]
+                out = [(_name(xxhash.xxh3_128_digest(s.tobytes())), s) for s in sets if len(s)]
+                out = [(x, s) for x, s in out if bits[(p := x % _FILTER_BITS) >> 3] >> (p & 7) & 1]
                 for k in range(0, len(out), 64):
                     some = out[k : k + 64]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([fp for fp, _ in some], pa.binary()),
+                            pa.array([x for x, _ in some], pa.int64()),
                             pa.array([s.view(np.int64) for _, s in some], pa.list_(pa.int64())),
+                            pa.array([_level(len(s)) for _, s in some], pa.int32()),
+                            pa.array([_sketch(s) for _, s in some], pa.binary()),
                         ],
-                        ["fp", "items"],
+                        ["node", "items", "level", "sketch"],
                     )
 
     return run
@@ -113,81 +141,108 @@ def _set_batches(size: int, wanted: bytes):
 _FILTER_BITS = 1 << 24
 
 
-def _place(fp: bytes) -> int:
-    return int.from_bytes(fp[:3], "big") % _FILTER_BITS
-
-
-def _filter(fps: DataFrame) -> bytes:
-    """Which of the 2^24 first three bytes occur among ``fps``: at most 2^16 rows of 256 bits reach the driver."""
-    head = F.conv(F.substring(F.hex("fp"), 1, 6), 16, 10).cast("long")
+def _filter(nodes: DataFrame) -> bytes:
+    """Which remainders modulo 2^24 occur among the nodes: at most 513 rows of 4 KB reach the driver."""
     rows = (
-        fps.select(head.alias("p"))
+        nodes.select(F.pmod("node", F.lit(_FILTER_BITS)).alias("p"))
         .select(F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("at"))
         .groupBy("k")
         .agg(F.bitmap_construct_agg("at").alias("bits"))
         .collect()
     )
     out = np.zeros(_FILTER_BITS // 8 + 1, np.uint8)
-    for r in rows:  # bucket 1 holds places 1 to 32768, bit 0 first; place 0 is in bucket 0
-        block = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
-        places = np.flatnonzero(block) + (r.k - 1) * 32768 + 1 if r.k > 0 else np.zeros(1, np.int64)
+    for r in rows:  # bucket k > 0 holds places 32768 * (k - 1) + 1 and on, bit 0 first; place 0 is bit 0 of bucket 0
+        block = np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little"))
+        places = block + (r.k - 1) * 32768 + 1 if r.k > 0 else np.zeros(1, np.int64)
         np.bitwise_or.at(out, places >> 3, (1 << (places & 7)).astype(np.uint8))
     return out.tobytes()
 
 
-def _keys(classes: DataFrame, symbols: int, chunk: int, errors: int) -> DataFrame:
-    """Each class under all its index keys: the chunk, the left-out symbols, and the symbols that stay."""
-    from itertools import combinations
+def _stays(symbols: int, chunk: int, errors: int) -> list[tuple[int, ...]]:
+    """For every place of the index, the symbols that stay of a chunk when ``errors`` of it are left out."""
+    chunks = [range(c, min(c + chunk, symbols)) for c in range(0, symbols, chunk)]
+    return [stay for own in chunks for stay in combinations(own, max(1, len(own) - errors))]
+
+
+def _keys(classes: DataFrame, stays: list[tuple[int, ...]]) -> DataFrame:
+    """Each class under its key in every place of the index."""
+    keys = [
+        F.xxhash64(F.lit(place), F.concat(*[F.substring("signature", 2 * s + 1, 2) for s in stay]))
+        for place, stay in enumerate(stays)
+    ]
+    return classes.select("node", F.posexplode(F.array(*keys)).alias("place", "key"))
 
-    keys = []
-    for c in range(0, symbols, chunk):
-        own = range(c, min(c + chunk, symbols))
-        for stay in combinations(own, max(1, len(own) - errors)):
-            parts = [F.substring("signature", 2 * s + 1, 2) for s in stay]
-            keys.append(F.xxhash64(F.lit(c), F.lit(sum(1 << (s - c) for s in stay)), F.concat(*parts)))
-    return classes.select("fp", "n_shingles", F.explode(F.array(*keys)).alias("key"))
 
+def _near_in_size(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sizes allow the similarity."""
+    pairs = pairs.distinct()
+    for k in "ab":
+        pairs = pairs.join(classes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}")), k)
+    return pairs.where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")).select("a", "b")
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, text: str, size: int, threshold: int) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets reach the similarity."""
-    pairs = written(pairs, "pairs")
-    wanted = _filter(pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))))
-    sets = written(
-        docs.select(text).mapInArrow(_set_batches(size, wanted), "fp binary, items array<long>").dropDuplicates(["fp"]),
-        "sets",
-    )
-    one, two = (sets.select(F.col("fp").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
+    one, two = (sets.select(F.col("node").alias(k), F.col("items").alias(f"items_{k}")) for k in "ab")
     shared = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - shared
-    links = written(
-        pairs.join(two, "b").join(one, "a").where(100 * shared.cast("long") >= threshold * union.cast("long")).select("a", "b"),
-        "links",
-    )
-    forget(sets)
-    forget(pairs)
-    return links
+    near = 100 * shared.cast("long") >= threshold * union.cast("long")
+    return written(pairs.join(two, "b").join(one, "a").where(near).select("a", "b"), "links")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after the components that the links join have become one."""
+    edges = links
+    for k in "ab":
+        edges = edges.join(labels.select(F.col("node").alias(k), F.col("component").alias(f"of_{k}")), k)
+    found = connected_components(edges.where("of_a <> of_b").select("of_a", "of_b"), "of_a", "of_b")
+    found = found.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    out = labels.join(found, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+    return written(out, "labels")
 
 
-def _across(symbols: int, threshold: int):
-    """Within one group of rows, pairs of different components (and blocks, where two were dealt here) that may reach the similarity."""
-    most = symbols - int(symbols * threshold / 100 * 0.5)  # far beyond what similar sets can differ by
+def _across(stays: list[tuple[int, ...]], length: int, threshold: int):
+    """Pairs of different components within one key (and two of its blocks) that may reach the similarity.
+
+    A pair counts in the first key that it shares only.  Left out are pairs whose signatures differ in more symbols than
+    sets of the similarity do by 4.5 standard deviations (four in a million such pairs),
+    and pairs whose sketches (whole sets, if small) differ by as much; the others are still to be confirmed.
+    """
+    p = threshold / 100
+    most = int(length * (1 - p) + 4.5 * (length * p * (1 - p)) ** 0.5)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        component, fp = (np.array(table[c].to_pylist(), object) for c in ("component", "fp"))
+        component, node = table["component"].to_numpy(), table["node"].to_numpy()
         n, block = table["n_shingles"].to_numpy(), table["block"].to_numpy()
-        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(fp), -1)
-        low, high = key[1].as_py(), key[2].as_py()
-        found: list[tuple[bytes, bytes]] = []
-        for i in np.flatnonzero(block == low):
-            other = block == high
+        marks = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(node), -1)
+        low, high, place = key[1].as_py(), key[2].as_py(), table["place"][0].as_py()
+        level = table["level"].to_pylist()
+        sketch = [np.frombuffer(x, np.uint32) for x in table["sketch"].to_pylist()]
+
+        def alike(i: int, j: int) -> bool:
+            if level[i] != level[j]:
+                return True
+            k = len(np.intersect1d(sketch[i], sketch[j], assume_unique=True))
+            union = max(1, len(sketch[i]) + len(sketch[j]) - k)
+            return k / union >= p - (4.5 * (p * (1 - p) / union) ** 0.5 if level[i] else 0.01)
+
+        found: list[tuple[int, int]] = []
+        for i in np.flatnonzero(block == low).tolist():
+            other = (block == high) & (component != component[i])
             if low == high:
-                other = other & (np.arange(len(fp)) > i)
-            other &= component != component[i]
+                other[: i + 1] = False
             other &= 100 * np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
             at = np.flatnonzero(other)
-            at = at[(marks[at] != marks[i]).sum(axis=1) <= most]
-            found += [(min(fp[i], fp[j]), max(fp[i], fp[j])) for j in at]
-        return pa.table({"a": pa.array([x for x, _ in found], pa.binary()), "b": pa.array([y for _, y in found], pa.binary())})
+            same = marks[at] == marks[i]
+            fit = same.sum(axis=1) >= length - most
+            at, same = at[fit], same[fit]
+            for stay in stays[:place]:
+                if not len(at):
+                    break
+                later = ~same[:, stay].all(axis=1)
+                at, same = at[later], same[later]
+            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in at.tolist() if alike(i, j)]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return run
 
@@ -201,6 +256,8 @@ def near_duplicates(
     symbols: int = SYMBOLS,
     chunk: int = CHUNK,
     errors: int = ERRORS,
+    length: int = LENGTH,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """For each document ``doc_id, n_shingles, component_id, kept, class_size``.
 
@@ -212,8 +269,10 @@ def near_duplicates(
     takes part as a text but never names a component unless nothing else is there: such a row's component is the
     smallest non-null id of its component, else null and kept.  An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
+    length = max(length, symbols)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    digests = written(docs.mapInArrow(_digest_batches(shingle, symbols), _DIGESTS), "digests")
+    digests = written(docs.mapInArrow(_digest_batches(shingle, length), _DIGESTS), "digests")
     classes = written(
         digests.where("n_shingles > 0")
         .groupBy("fp")
@@ -222,43 +281,52 @@ def near_duplicates(
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.count(F.lit(1)).alias("class_size"),
-        ),
+        )
+        .withColumn("node", F.conv(F.substring(F.hex("fp"), 1, 16), 16, -10).cast("long")),
         "classes",
     )
-    keys = _keys(classes, symbols, chunk, errors)
-    heads = keys.groupBy("key").agg(F.min(F.struct("fp", "n_shingles")).alias("head"), F.count(F.lit(1)).alias("members"))
-    heads = heads.where("members > 1")
-    near = 100 * F.least("n_shingles", "head.n_shingles") >= threshold * F.greatest("n_shingles", "head.n_shingles")
-    shared = written(keys.join(heads, "key").select("key", "fp", "n_shingles", "head", "members"), "shared")
-    first = shared.where(near & (F.col("fp") != F.col("head.fp"))).select(F.col("head.fp").alias("a"), F.col("fp").alias("b")).distinct()
-    links = _confirmed(first, docs, "text", shingle, threshold)
-    merged = connected_components(links)
-
-    crowded = shared.where("members > 2").select("key", "fp", "members")
-    named = crowded.join(merged, crowded.fp == merged.node, "left").select(
-        "key", "fp", "members", F.coalesce("component", "fp").alias("component")
+    stays = _stays(symbols, chunk, errors)
+    keys = _keys(classes, stays)
+    met = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = written(keys.join(met, "key").select("key", "place", "node"), "shared")
+    labels = written(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
+    wanted = _filter(labels)
+    sets = docs.select("text").mapInArrow(_set_batches(shingle, wanted), "node long, items array<long>, level int, sketch binary")
+    sets = written(sets.join(labels.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    for turn in range(rounds):
+        named = shared.join(labels, "node")
+        order = F.xxhash64("key", F.lit(turn)) if turn else F.lit(0).cast("long")
+        turned = lambda c: F.col(c).bitwiseXOR(order)  # noqa: B023, E731
+        kept = F.min("component").alias("low"), F.max("component").alias("high")
+        mixed = named.withColumn("turned", turned("node")).groupBy("key").agg(F.min("turned").alias("least"), *kept)
+        mixed = mixed.where("low <> high").select("key", turned("least").alias("leader"))
+        of_leader = labels.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
+        pairs = named.join(mixed, "key").select("leader", "node", "component").distinct().join(of_leader, "leader")
+        pairs = pairs.where("component <> of_leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+        links = _confirmed(_near_in_size(pairs, classes, threshold), sets, threshold)
+        labels = _merged(labels, links)
+
+    named = shared.join(labels, "node")
+    mixed = named.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
     )
-    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = (
-        named.join(mixed.select("key"), "key")
-        .withColumn("block", F.pmod(F.xxhash64("fp"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select(
-            "key", "fp", "component", "block", F.least("block", "other").alias("lower"), F.greatest("block", "other").alias("upper")
-        )
-        .join(classes.select("fp", "n_shingles", "signature"), "fp")
-    )
-    second = (
-        dealt.groupBy("key", "lower", "upper").applyInArrow(_across(symbols, threshold), "a binary, b binary").distinct()
+        named.join(mixed.where("low <> high and members > 2").select("key", blocks.alias("blocks")), "key")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("lower", F.least("block", "other"))
+        .withColumn("upper", F.greatest("block", "other"))
+        .join(classes.select("node", "n_shingles", "signature"), "node")
+        .join(sets.select("node", "level", "sketch"), "node")
+        .select("key", "place", "node", "component", "block", "lower", "upper", "n_shingles", "signature", "level", "sketch")
     )
-    second = second.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    more = _confirmed(second, docs, "text", shingle, threshold)
-    if more.limit(1).count():
-        merged = connected_components(links.union(more))
+    rest = dealt.groupBy("key", "lower", "upper").applyInArrow(_across(stays, length, threshold), "a long, b long")
+    merged = _merged(labels, _confirmed(rest, sets, threshold))
 
-    linked = classes.select("fp", "least_id", "class_size").join(merged, F.col("fp") == F.col("node"), "left")
-    linked = linked.withColumn("component", F.coalesce("component", "fp"))
+    linked = classes.select("fp", "node", "least_id", "class_size")
+    linked = linked.join(merged.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = written(linked.join(names, "component").select("fp", "class_size", "component_id"), "of-class")
     out = digests.select("doc_id", "fp", "n_shingles").join(of_class, "fp", "left")
