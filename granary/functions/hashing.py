@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -83,3 +83,11 @@ def _components(pixels: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
 def image_components(pixels: Column) -> Column:
     """P21, pixel step: a struct (data binary of grey bytes, height, width) to its 64 coarse components; bad rows to null."""
     return F.pandas_udf(_components, "array<double>")(pixels)
+
+
+def with_perceptual_hash(images: DataFrame) -> DataFrame:
+    """Grey images (``data, height, width``) with ``bits`` and ``phash``; unreadable ones get null and an empty text."""
+    seen = images.withColumn("_components", image_components(F.struct("data", "height", "width")))
+    bits = F.when(F.col("_components").isNotNull(), packed(coarse_bits(F.col("_components"))))
+    hashed = seen.withColumn("bits", bits).drop("_components")
+    return hashed.withColumn("phash", F.coalesce(hex_of_bits(F.col("bits")), F.lit("")))
