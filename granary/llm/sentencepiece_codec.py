@@ -32,7 +32,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 #: Units kept at a time in one worker.
-KEPT_UNITS = 150_000
+KEPT_UNITS = 400_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -134,6 +134,23 @@ class DoubleArray:
         self.base, self.check, self.value = bases[:end].tolist(), parent[:end].tolist(), values[:end].tolist()
 
 
+class _Kept(dict):
+    """Ids of the units met so far, as bytes; the table starts anew when it is full."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= KEPT_UNITS:
+            self.clear()
+        ids = self[unit] = np.array(self.codec.best_path(unit), np.int32).tobytes()
+        return ids
+
+    def __reduce__(self):
+        return _Kept, (self.codec,)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
@@ -149,10 +166,13 @@ class Codec:
         self.byte = [byte.get(b, self.unknown) for b in range(256)] if byte else None
         self.is_byte = np.array([t == BYTE for t in v.types])
         spelled = {k: bytes([b]) for b, k in byte.items()}
-        self.bytes = [
-            spelled.get(k, b"" if t == CONTROL else " ⁇ ".encode() if t == UNKNOWN else p.encode())
+        texts = [
+            spelled.get(k, b"" if t == CONTROL else " ⁇ ".encode() if t == UNKNOWN else p.replace(MARKER, " ").encode())
             for k, (p, t) in enumerate(zip(v.pieces, v.types))
         ]
+        self.pool = np.frombuffer(b"".join(texts), np.uint8)
+        self.lengths = np.array([len(t) for t in texts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         texts = [p for p, t in zip(v.pieces, v.types) if t in (NORMAL, USER)]
         inner = set("".join(p for p in texts if len(p) > 1)) - {MARKER}
         self.separable = not any(MARKER in p.lstrip(MARKER) for p in texts)
@@ -161,7 +181,7 @@ class Codec:
             self.units = re.compile(f"{MARKER}*[{own}]+|{MARKER}+|[^{own}{MARKER}]")
         else:
             self.units = re.compile("(?s).+")
-        self.kept: dict[str, bytes] = {}
+        self.kept = _Kept(self)
 
     def best_path(self, unit: str) -> list[int]:
         """Ids of the pieces of highest total score; of equal totals, the one with the longer last piece."""
@@ -213,24 +233,19 @@ class Codec:
         out.reverse()
         return out
 
-    def _unit(self, unit: str) -> bytes:
-        ids = self.kept.get(unit)
-        if ids is None:
-            if len(self.kept) >= KEPT_UNITS:
-                self.kept.clear()
-            ids = self.kept[unit] = np.array(self.best_path(unit), np.int32).tobytes()
-        return ids
-
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         marked = (MARKER if self.prefix else "") + text.replace(" ", MARKER)
-        return np.frombuffer(b"".join(map(self._unit, self.units.findall(marked))), np.int32)
+        return np.frombuffer(b"".join(map(self.kept.__getitem__, self.units.findall(marked))), np.int32)
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
-        spelled = self.bytes
-        text = b"".join([spelled[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])
-        out = text.decode("utf-8", "replace").replace(MARKER, " ")
+        """The text of known ids: all pieces' bytes are gathered from one pool at once."""
+        ids = np.asarray(ids, np.int64)
+        length = self.lengths[ids]
+        ends = np.cumsum(length)
+        at = np.repeat(self.starts[ids] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
+        out = self.pool[at].tobytes().decode("utf-8", "replace")
         return out[1:] if self.prefix and out[:1] == " " else out
 
 
@@ -272,7 +287,7 @@ def decode(tokens: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.value
-        n = len(codec.bytes)
+        n = len(codec.lengths)
         for batch in batches:
             texts = [codec.decode([i for i in ids or [] if i is not None and 0 <= i < n]) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
