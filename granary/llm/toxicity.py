@@ -31,9 +31,11 @@ MOST_TERMS = 2_000
 FUZZY_LETTERS = 5
 STEMS = (2, 3, 4, 5, 6, 7)
 #: A term must occur in this many toxic rows, be this many times likelier in toxic than in other rows, and have this much
-#: evidence (rows times the divergence, in nats, of its share of toxic rows from the overall share): chance alone brings
-#: that about once in a million terms.
-LEAST_ROWS, LEAST_RATIO, LEAST_EVIDENCE = 3, 12.0, 14.0
+#: evidence (rows times the divergence, in nats, of its share of toxic rows from the overall share): chance alone brings 9 to
+#: about one word in ten thousand, and 14 to one stem in a million.
+LEAST_ROWS, LEAST_RATIO, LEAST_EVIDENCE, LEAST_STEM_EVIDENCE = 3, 12.0, 9.0, 14.0
+#: Share of other rows beyond which a stem, which stands for words never seen, isn't used.
+MOST_IMPURE = 0.02
 #: Rows of the sample from which the weights of contexts are learned, at most.
 CONTEXT_ROWS = 4_000
 #: Words on either side that make a match's context.
@@ -81,8 +83,8 @@ class Lexicon:
         self.start = self._number(self._closed({(0, 0)}), -1)
 
     def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """Also what is reached by leaving out a letter of a term."""
-        return frozenset(pairs | {(n, 1) for node, e in pairs if not e for n in self.next[node].values() if n in self.fuzzy})
+        """Also what is reached by leaving out a letter of a term, but for the first."""
+        return frozenset(pairs | {(n, 1) for node, e in pairs if node and not e for n in self.next[node].values() if n in self.fuzzy})
 
     def _number(self, pairs: frozenset, stem: int) -> int:
         key = (pairs, stem)
@@ -231,7 +233,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         c = other[t]
         n, q = p + c, p / (p + c)
         evidence = n * (q * log(q / share) + ((1 - q) * log((1 - q) / (1 - share)) if c else 0.0))
-        if (p + 0.5) / toxic >= LEAST_RATIO * (c + 0.5) / clean and evidence >= LEAST_EVIDENCE:
+        if (p + 0.5) / toxic >= LEAST_RATIO * (c + 0.5) / clean and evidence >= (LEAST_STEM_EVIDENCE if t[1] else LEAST_EVIDENCE) and not (t[1] and c > MOST_IMPURE * p):
             score[t] = log((p + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1))
     # the purest terms first, then the most frequent: a stem stands for all its words and longer stems, a word for its stems
     for t in sorted(score, key=lambda t: (other[t] / seen[t], -seen[t], t[1], len(t[0]), t)):
