@@ -1,0 +1,528 @@
+"""The ten operators and the pipeline against plain code, on small fixtures with nulls, blanks, repeats and clashing names."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from granary.llm import (
+    bestfit_packing, catalog, char_lm, html_wrappers, language_id, license_scan, maxscore_search, minhash_dedup, quality_rules, secret_scan,
+    sentencepiece_codec, toxicity, wordhash,
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [None, "", " \n\t", "one", "ONE", "a b c d e f g h", "¿ñandú? 日本語", "x" * 40, "w " * 3000]
+
+
+def documents(spark, texts, ids=None):
+    rows = [(i, t, "en" if t else None, None if k % 3 else "s", len(t or "")) for k, (i, t) in enumerate(zip(ids or range(len(texts)), texts))]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def small(spark, sf, n=None):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def lowered(text):
+    return (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def shingles(text, n=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+    return frozenset(zip(*[w[k:] for k in range(n)])) if len(w) >= n else frozenset([tuple(w)] if w else [])
+
+
+def brute_components(rows):
+    """(id, text) rows to {id: (set size, least id reachable)}; ids are unique."""
+    sets = {i: shingles(t) for i, t in rows}
+    up = {i: i for i in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+# -- word hashes ---------------------------------------------------------------------------------------------------------
+
+
+def test_words_equal_a_regular_expression():
+    texts = [*ODD, "É à", "a b", "tab\x0bv\x0cf\rr"]
+    for part in wordhash.slices(pa.array(texts), 64):
+        w = wordhash.words(part)
+        for i in range(len(part)):
+            want = re.findall(rb"[^\x20\x09-\x0D]+", (texts[part.first + i] or "").encode())
+            assert [bytes(part.data[a:b]) for a, b in zip(w.starts[w.of[i] : w.of[i + 1]], w.ends[w.of[i] : w.of[i + 1]])] == want
+
+
+# -- 1 near-dedup --------------------------------------------------------------------------------------------------------
+
+
+def near_copies(seed, n_groups=12):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    texts = []
+    for g in range(n_groups):
+        base = [word() for _ in range(rng.choice([6, 30, 80, 200]))]
+        for _ in range(rng.choice([1, 2, 5, 12])):
+            own = list(base)
+            for _ in range(rng.randrange(0, max(2, len(base) // 20))):
+                own[rng.randrange(len(own))] = word()
+            texts.append(" ".join(own).upper() if rng.random() < 0.2 else "  ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_equal_brute_force(spark, seed):
+    texts = near_copies(seed) + ODD
+    rows = list(enumerate(texts, 10))
+    docs = documents(spark, texts, [i for i, _ in rows]).withColumn("component", F.lit("clash")).withColumn("node", F.lit(1))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()}
+    want = brute_components(rows)
+    assert got == {i: (n, c, i == c) for i, (n, c) in want.items()}
+
+
+def test_near_duplicates_edges(spark):
+    docs = documents(spark, ["a b c d e f", "a b c d e f", "q", None, "a b c d e f"], [7, 7, None, None, None])
+    got = sorted(map(tuple, minhash_dedup.near_duplicates(docs).select("doc_id", "component_id", "kept", "n_shingles").collect()), key=str)
+    assert got == sorted([(7, 7, True, 2), (7, 7, True, 2), (None, None, True, 1), (None, None, True, 0), (None, 7, False, 2)], key=str)
+    assert minhash_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_leaders_and_blocks_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 3)
+    texts = near_copies(5, 6)
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(documents(spark, texts), rounds=1).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(list(enumerate(texts))).items()}
+
+
+def test_signature_index_finds_all_pairs_under_its_distance():
+    stays = minhash_dedup._stays(12, 4, 1)
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        off = rng.choice(12, 5, replace=False)  # 3 chunks, 1 error each: distances up to 5
+        assert any(not set(s) & set(off.tolist()) for s in stays)
+
+
+# -- 2 licences ----------------------------------------------------------------------------------------------------------
+
+
+def brute_license(text):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
+    hits = [(k, label) for phrase, label in license_scan.BASE_PHRASES for p in [phrase.split()] for k in range(len(w)) if w[k : k + len(p)] == p]
+    starts = [k for k, _ in hits]
+    return len(w), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits}))
+
+
+def test_license_base_equals_brute_force(spark, sf):
+    odd = ["CC-BY cc by CC BY", "mit license mit\nlicense MIT-License", "the GNU General Public License, apache  license", "amit license", "MIT licenses", *ODD]
+    docs = small(spark, sf).select("doc_id", "text").unionByName(documents(spark, odd, range(10**6, 10**6 + len(odd))).select("doc_id", "text"))
+    got = license_scan.license_labels(license_scan.license_findings(docs)).toPandas()
+    want = {r.doc_id: brute_license(r.text) for r in docs.collect()}
+    for r in got.replace({np.nan: None}).itertuples():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == want[r.doc_id]
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+
+
+def test_license_fuzzy():
+    base, more = [license_scan.notice(p, n, 0) for p, n in license_scan.BASE_PHRASES], [license_scan.notice(*n) for n in license_scan.NOTICES]
+    for text, label, edits in (("the GNU Genral Public Licence", "gpl", 2), ("Apache Licence 2.0", "apache", 1), ("under CC BY-NC 4.0", "cc-by-nc", 0)):
+        found = [f for f in license_scan.scan(text, base, more)[1] if f["label"] == label and not f["exact"]]
+        assert found and found[0]["edits"] == edits
+    assert not license_scan.scan("a mild lecture on apachean rites", base, more)[1]
+    n, found = license_scan.scan("x y Mozila Public License z", base, more)
+    assert n == 6 and (found[0]["first_word"], found[0]["last_word"]) == (2, 4)
+
+
+# -- 3 search ------------------------------------------------------------------------------------------------------------
+
+
+def test_search_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    v = rng.normal(0, 0.1, (300, 16)).astype(np.float32)
+    v[10] = v[20] = v[30]
+    rows = [(i, x.tolist(), "e") for i, x in enumerate(v)] + [(1000, None, ""), (1050, [1.0, None], ""), (1100, [float("nan")] * 16, ""), (None, [1.0] * 16, ""), (1150, [0.5], "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, ids string")
+    got = maxscore_search.search(df, df.where("vec_id % 50 = 0"), 5, shard=64, block=4).collect()
+    q = {i: np.floor(256 * np.array(x, np.float64)).astype(int).tolist() for i, x, _ in rows if i is not None and x and None not in x and x[0] == x[0]}
+    want = []
+    for i in q:
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:5]
+            want += [(i, k, j, -s) for k, (s, j) in enumerate(scored, 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    few = df.where("vec_id < 2")
+    assert maxscore_search.search(few, few).count() == 2 and maxscore_search.search(df.limit(0), df.limit(0)).count() == 0
+
+
+# -- 4 packing -----------------------------------------------------------------------------------------------------------
+
+
+def check_bins(rows, texts, capacity, slots):
+    fill, sources, clusters, pieces = Counter(), Counter(), set(), defaultdict(list)
+    for r in rows:
+        fill[r.bin_id] += r.n_words
+        sources[r.bin_id, r.source] += 1
+        assert (r.bin_id, r.cluster) not in clusters
+        clusters.add((r.bin_id, r.cluster))
+        pieces[r.doc_id].append((r.first_word, r.n_words))
+    assert all(n <= capacity for n in fill.values()) and all(n <= slots for n in sources.values())
+    assert all(r.bin_words == fill[r.bin_id] for r in rows)
+    assert set(pieces) == set(texts)
+    for i, own in pieces.items():
+        at = 0
+        for first, n in sorted(own):
+            assert first == at
+            at += n
+        assert at == len((texts[i] or "").split())
+
+
+def test_packing_keeps_everything(spark, sf):
+    docs = small(spark, sf)
+    check_bins(bestfit_packing.best_fit(docs, shard=64).collect(), {r.doc_id: r.text for r in docs.collect()}, bestfit_packing.CAPACITY, bestfit_packing.SOURCE_SLOTS)
+    odd = documents(spark, ODD)
+    check_bins(bestfit_packing.best_fit(odd, capacity=100, slots=1).collect(), dict(enumerate(ODD)), 100, 1)
+    assert bestfit_packing.best_fit(odd.limit(0)).count() == 0
+
+
+def test_packing_takes_the_tightest_compatible_bin():
+    rng = random.Random(2)
+    sizes, sources, clusters = [rng.randrange(1, 60) for _ in range(300)], [rng.choice("aab") for _ in range(300)], [rng.randrange(150) for _ in range(300)]
+    got = bestfit_packing.pack(sizes, sources, clusters, 100, 2)
+    bins = []
+    for i, _, n, b in got:
+        fits = [(room, k) for k, (room, src, cl) in enumerate(bins) if room >= n and src[sources[i]] < 2 and clusters[i] not in cl]
+        assert b == (min(fits)[1] if fits else len(bins))
+        if b == len(bins):
+            bins.append((100, Counter(), set()))
+        room, src, cl = bins[b]
+        src[sources[i]] += 1
+        cl.add(clusters[i])
+        bins[b] = (room - n, src, cl)
+
+
+# -- 5 secrets -----------------------------------------------------------------------------------------------------------
+
+
+def test_forest_on_held_out_findings():
+    forest = secret_scan.train()
+    x, y = [], []
+    for text, start, end, label in secret_scan.labelled_findings(600, seed=123):
+        kind = next((k for a, _, k in secret_scan.candidates(text) if a == start), "run")
+        x.append(secret_scan.features(text, start, end, kind))
+        y.append(label)
+    right = (forest.predict(np.array(x)) >= secret_scan.LEAST) == np.array(y)
+    assert right.mean() > 0.97
+
+
+def test_secrets_scan_and_redact(spark):
+    key = "9f8e7d6c5b4a39281706f5e4d3c2b1a0ffeeddcc"
+    texts = [f'say token = "{key}" now', f"commit {key} fixed", f'x api_key: "{key}"\npassword = "Tr0ub4dor&3xq9"', *ODD]
+    docs = documents(spark, texts).withColumn("findings", F.lit("clash"))
+    forest = secret_scan.train()
+    found = {r.doc_id: [(f.start, f.end) for f in r.findings if f.secret] for r in secret_scan.scan(docs, forest).collect()}
+    assert found[0] == [(13, 53)] and found[1] == [] and len(found[2]) == 2 and not any(found[i] for i in range(3, len(texts)))
+    out = {r.doc_id: r for r in secret_scan.redact(docs, forest).collect()}
+    assert out[0].text == 'say token = "<SECRET>" now' and out[0].n_chars == len(out[0].text) and key in out[1].text and key not in out[2].text
+    assert all(out[i].text == texts[i] for i in range(3, len(texts))) and docs.columns == secret_scan.redact(docs, forest).columns
+    assert secret_scan.scan(docs.limit(0), forest).count() == 0
+
+
+# -- 6 toxicity ----------------------------------------------------------------------------------------------------------
+
+
+def edit_distance_one(a, b):
+    if abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def test_automaton_equals_edit_distance():
+    terms = {("moron", False): 2.0, ("clown", False): 1.0, ("scum", False): 3.0, ("lowei", True): 1.5}
+    lexicon = toxicity.Lexicon(terms)
+    rng = random.Random(4)
+    words = ["moron", "morron", "moon", "mroon", "clowns", "clon", "blown", "scum", "scam", "loweiz", "lowei", "lowe", "", "m"]
+    for w in ("moron", "clown", "loweixy"):
+        for _ in range(300):
+            k = rng.randrange(len(w) + 1)
+            words.append(rng.choice([w[:k] + rng.choice("abcmo") + w[k:], w[:k] + w[k + 1 :], w[:k] + rng.choice("lonm") + w[k + 1 :]]))
+    for w in words:
+        exact = [k for k, (t, stem) in enumerate(terms) if not stem and t == w]
+        stems = [k for k, (t, stem) in enumerate(terms) if stem and w.startswith(t)]
+        near = [k for k, (t, stem) in enumerate(terms) if not stem and len(t) >= 5 and w[:1] == t[:1] and edit_distance_one(w, t)]
+        got = lexicon.match(w)
+        if exact:
+            assert got == (exact[0], 0)
+        elif stems:
+            assert got == (stems[0], 1)
+        elif near:
+            assert got == (near[0], 2), w
+        else:
+            assert got is None, (w, got)
+
+
+def test_toxicity_held_out(spark, sf):
+    folder = sf.replace("0.001", "0.1")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    got = catalog.op6_toxicity(spark, folder).join(labels, "doc_id").where("held_out").toPandas()
+    assert docs.count() == catalog.op6_toxicity(spark, folder).count()
+    assert (got.predicted == got.toxic).mean() > 0.96 and got[got.toxic == 1].predicted.mean() > 0.85 and got.score.between(0, 1).all()
+
+
+def test_quotation_weighs_less():
+    model = toxicity.Model({("idiot", False): 9.0}, base=-4.0)
+    lexicon = toxicity.Lexicon(model.terms)
+    score = lambda t: toxicity.likelihood(toxicity.matches(t, lexicon, {}, {}), [9.0], model)
+    assert score("you idiot go away") > 0.9 > 0.5 > score('the word "idiot" is an insult') > score("a kind note") and score("you idoit! idiott") > 0.5
+
+
+def test_toxicity_edges(spark):
+    got = toxicity.toxicity(documents(spark, ODD).withColumn("score", F.lit(1)), toxicity.Model()).collect()
+    assert len(got) == len(ODD) and all(0 < r.score < 0.3 for r in got)
+    assert toxicity.fit([]).terms == {} and toxicity.fit([("a", 0), (None, 1)]).terms == {}
+
+
+# -- 7 quality -----------------------------------------------------------------------------------------------------------
+
+
+def brute_statistics(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    at = defaultdict(list)
+    for i in range(len(w) - 2):
+        at[tuple(w[i : i + 3])].append(i)
+    covered = {j for v in at.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_statistics_equal_brute_force(spark, sf):
+    odd = ["a a a a", "x y z x y z x y", "l\nl\n \nl\n", "#*$%&|<>", "a b c\na b c", *ODD]
+    docs = small(spark, sf).select("doc_id", "text").unionByName(documents(spark, odd, range(10**6, 10**6 + len(odd))).select("doc_id", "text"))
+    want = {r.doc_id: brute_statistics(r.text) for r in docs.collect()}
+    for r in quality_rules.quality_report(docs).collect():
+        s = r.stats
+        assert (s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words) == want[r.doc_id]
+        assert r.base_failed == (s.n_words < 50 or 100 * s.n_repeat_words > 50 * s.n_words) and not (r.kept and r.base_failed)
+
+
+def test_quality_verdicts(spark, sf):
+    folder = sf.replace("0.001", "0.1")
+    got = catalog.op7_quality_rules(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("not base_failed").toPandas()
+    assert got[got.quality == 1].kept.mean() > 0.99 and got[got.quality == 0].kept.mean() < 0.1
+    assert quality_rules.quality(documents(spark, []) if False else small(spark, sf).limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        quality_rules.quality(small(spark, sf).withColumn("kept", F.lit(1)))
+
+
+def test_label_model_finds_accuracies():
+    rng = random.Random(0)
+    names, right = ["a", "b", "c"], {"a": 0.95, "b": 0.85, "c": 0.9}
+    patterns = Counter()
+    for _ in range(20000):
+        y = rng.random() < 0.8
+        patterns[tuple(-1 if rng.random() < 0.2 else int(y == (rng.random() < right[n])) for n in names)] += 1
+    model = quality_rules.estimate(list(patterns.items()), names)
+    assert abs(model.prior - 0.8) < 0.05 and all(abs(model.accuracy(n) - right[n]) < 0.05 for n in names)
+
+
+# -- 8 SentencePiece -----------------------------------------------------------------------------------------------------
+
+
+def tiny_codec():
+    pieces = ["<unk>", "<s>", *[f"<0x{b:02X}>" for b in range(256)], "▁", "a", "b", "ab", "▁a", "▁ab", "ba", "bab", "▁▁", "é"]
+    types = [2, 3, *[6] * 256, *[1] * 10]
+    return sentencepiece_codec.Codec(sentencepiece_codec.Vocabulary(pieces, [0.0] * 258 + [-2.0, -1.5, -1.7, -2.1, -1.9, -4.5, -2.0, -3.9, -3.0, -1.0], types))
+
+
+def brute_best(codec, text):
+    """Highest total score over all segmentations."""
+    best = {0: 0.0}
+    ids = {p: k for k, p in enumerate(codec.pieces) if k >= 258}
+    for end in range(1, len(text) + 1):
+        options = [best[s] + codec.scores[ids[text[s:end]]] for s in range(end) if text[s:end] in ids and s in best]
+        if text[end - 1] not in ids:
+            options.append(best[end - 1] + codec.unknown_score)
+        best[end] = max(options)
+    return best[len(text)]
+
+
+def test_viterbi_equals_brute_force():
+    codec = tiny_codec()
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice("aabb é x日") for _ in range(rng.randrange(0, 14)))
+        ids = codec.encode(text)
+        assert codec.decode(ids) == text
+        if text:
+            score = sum(codec.scores[i] for i in ids.tolist() if i >= 258)
+            marked = sentencepiece_codec.MARKER + text.replace(" ", sentencepiece_codec.MARKER)
+            unknown = sum(c not in codec.pieces for c in marked)
+            assert abs(score + unknown * codec.unknown_score - brute_best(codec, marked)) < 1e-9
+
+
+def test_codec_round_trip(spark, sf):
+    docs = small(spark, sf).select("doc_id", "text").unionByName(documents(spark, ODD, range(10**6, 10**6 + len(ODD))).select("doc_id", "text"))
+    tokens = sentencepiece_codec.encode(docs)
+    assert tokens.where("not round_trip").count() == 0
+    texts = {r.doc_id: r.text for r in sentencepiece_codec.decode(tokens).collect()}
+    assert all(texts[r.doc_id] == (r.text or "") for r in docs.collect())
+    assert sentencepiece_codec.encode(docs.limit(0)).count() == 0
+    odd = spark.createDataFrame([(1, None), (2, [5, None, 10**6])], "doc_id long, ids array<int>")
+    assert {r.doc_id for r in sentencepiece_codec.decode(odd).collect()} == {1, 2}
+
+
+def test_double_array_holds_its_words():
+    rng = random.Random(3)
+    words = sorted({bytes(rng.choice(b"abcxyz\xff\x00") for _ in range(rng.randrange(1, 6))) for _ in range(400)})
+    trie = sentencepiece_codec.DoubleArray([(w, k) for k, w in enumerate(words)])
+    known = {w: k for k, w in enumerate(words)}
+    for w in words + [w + b"q" for w in words] + [w[:-1] for w in words if len(w) > 1]:
+        state = 0
+        for c in w:
+            step = trie.base[state] + c
+            state = step if step < len(trie.check) and trie.check[step] == state and step else -1
+            if state < 0:
+                break
+        assert (trie.value[state] if state > 0 else -1) == known.get(w, -1)
+
+
+# -- 9 HTML --------------------------------------------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p>";</script></head><body class="page">
+<div id="cookie-notice">We use cookies</div><header><h1>Site</h1></header><nav><ul><li><a href=/x>A</a><li><a href=/y>B</a></ul></nav>
+%s<aside>side</aside><form>Search</form><div class="comments"><p>first!</p></div><footer>&copy; f</footer></body></html>"""
+
+
+def test_main_text_cases():
+    article = "<article><h1>T &amp; U</h1><p><b>One\n  two<br><p>a &lt;b&gt;&nbsp;c<ul><li>x<li>y</ul><div class='ad'>buy</div><table><tr><td>1</td><td>2</td></tr></table></article>"
+    assert html_wrappers.main_text(PAGE % article) == "T & U\nOne two\na <b> c\nx\ny\n1 2"
+    assert html_wrappers.main_text(PAGE % "<div class='post-content'><h2>H</h2><p>body</p></div>") == "H\nbody"
+    assert html_wrappers.main_text(PAGE % "<main><p>m</p></main>") == "m"
+    for source, want in (("", ""), ("plain < text", "plain < text"), ("<article><p>cut of", "cut of"), ("<p>a<!-- b --><p>c", "a\nc"), ("<article></article>", "")):
+        assert html_wrappers.main_text(source) == want
+
+
+def test_alignment_makes_optional_and_repeated_groups():
+    a = html_wrappers.fold(html_wrappers.parse("<body><div><h1>t</h1><p>x</p><p>y</p></div></body>"))
+    b = html_wrappers.fold(html_wrappers.parse("<body><div><p>x</p><ul><li><a>l</a></li></ul></div></body>"))
+    div = html_wrappers.align(a, b)[3][0][3][0]
+    assert [(c[0], c[1], c[2]) for c in div[3]] == [("h1", 1, 0), ("p", 0, 1), ("ul", 1, 0)]
+    assert html_wrappers.align(a, a) == a
+
+
+def test_pages_equal_plain_extraction(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    odd = spark.createDataFrame([(9001, None, None), (9002, "http://h.example/x", ""), (9003, "http://h.example/y", PAGE % "<article><p>k</p></article>")], pages.schema)
+    both = pages.unionByName(odd).withColumn("rule", F.lit("clash"))
+    rules = html_wrappers.wrappers(both)
+    got = {r.page_id: r.text for r in html_wrappers.extract(both, rules).collect()}
+    import html
+
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
+        blocks = [" ".join(html.unescape(re.sub(r"<(?!/?(p|h1)\b)[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)\b[^>]*>", inner)]
+        assert got[r.page_id] == "\n".join(b for b in blocks if b)
+    assert (got[9001], got[9002], got[9003]) == ("", "", "k")
+    assert rules.agg(F.sum("pages")).first()[0] == both.count()
+
+
+# -- 10 language ---------------------------------------------------------------------------------------------------------
+
+
+def test_models_are_distributions():
+    texts = ["abra cadabra", "banana bandana", "a cab"]
+    points, n = char_lm.letter_counts(texts)
+    table = char_lm.code_table(points.tolist())
+    s = char_lm.symbols(texts, table)
+    codes, counts = np.unique(char_lm.grams(s), return_counts=True)
+    model = char_lm.fit({"x": (codes, counts)})
+    for context in (codes[0] >> np.uint32(7), codes[-1] >> np.uint32(7), np.uint32(127 << 7 | 5)):
+        every = (np.uint32(context) << np.uint32(7)) | np.arange(128, dtype=np.uint32)
+        assert abs(np.exp(model.log_probabilities(every)[:, 0].astype(float)).sum() - 1) < 1e-4
+
+
+def test_symbols_run_spaces_together():
+    table = char_lm.code_table([ord("a"), ord("b")])
+    s = char_lm.symbols(["A  b", "", "?!", "aç"], table)
+    assert [s.codes[s.begin[i] : s.begin[i + 1]].tolist() for i in range(4)] == [[2, 0, 3], [], [0], [2, 1]]
+
+
+def test_language_held_out(spark, sf):
+    folder = sf.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = catalog.op10_language_id(spark, folder).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    held = got[got.held_out]
+    assert {i for i in held.doc_id} == {i for i in got.doc_id if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert (held.lang_pred == held.lang).mean() > 0.99 and not got.rejected.any() and got.score.between(0, 1).all()
+
+
+def test_language_edges(spark):
+    good = ["the cat sat on the mat and the dog ran"] * 6
+    docs = spark.createDataFrame([(i, t, "en", 1) for i, t in enumerate(good)] + [(50 + i, t, None, 2) for i, t in enumerate(ODD)] + [(None, "the dog", "en", 3), (80, "123 !?", "de", 4)], "doc_id long, text string, lang string, n long")
+    got = language_id.identify_languages(docs).collect()
+    und = {r.doc_id for r in got if r.lang_pred == "und"}
+    assert len(got) == docs.count() and {50, 51, 52, 80} <= und and all(r.score == 0 and r.rejected for r in got if r.lang_pred == "und")
+    assert next(r for r in got if r.doc_id is None).held_out
+    assert language_id.identify_languages(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
+    assert language_id.identify_languages(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        language_id.predict(docs.withColumn("score", F.lit(1)), language_id.train(docs))
+
+
+# -- queries and pipeline ------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", list(catalog.ORACLES))
+def test_queries_equal_sql(spark, sf, name):
+    import duckdb
+
+    c = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    got = catalog.QUERIES[name](spark, sf).toPandas()
+    want = c.execute(catalog.ORACLES[name]).df()[got.columns]
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+
+
+def test_pipeline_equals_plain_steps(spark, sf):
+    docs = small(spark, sf)
+    extra = spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "", None, None, 0), (None, "12 34", "en", "s", 5)], docs.schema)
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language_id", "quality_rules", "minhash_dedup", "secret_scan", "bestfit_packing"]
+    start = docs.unionByName(extra).unionByName(docs.limit(5))
+    a = stages["language_id"](spark, start, sf).cache()
+    assert a.columns == docs.columns and a.where("doc_id >= 1000000 or doc_id is null").count() == 0 and a.count() == docs.count() + 5
+    b = stages["quality_rules"](spark, a, sf).cache()
+    kept = {r.doc_id for r in quality_rules.quality_report(a).where("kept").collect()}
+    assert b.columns == docs.columns and {r.doc_id for r in b.collect()} == kept
+    c = stages["minhash_dedup"](spark, b, sf).cache()
+    brute = brute_components({r.doc_id: r.text for r in b.collect()}.items())
+    assert sorted(r.doc_id for r in c.collect()) == sorted(i for i, (_, least) in brute.items() if i == least)
+    d = stages["secret_scan"](spark, c, sf).cache()
+    assert d.columns == docs.columns and d.count() == c.count()
+    e = stages["bestfit_packing"](spark, d, sf)
+    check_bins(e.collect(), {r.doc_id: r.text for r in d.collect()}, bestfit_packing.CAPACITY, bestfit_packing.SOURCE_SLOTS)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0
+    whole = corpus_pipeline.run(spark, sf)
+    assert whole.select("doc_id").distinct().count() > 0.5 * c.count()
