@@ -14,6 +14,8 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.session import written
+
 SPACES = "[\\x20\\x09-\\x0D]+"
 #: A document is kept if its posterior probability of being good is at least this.
 LEAST = 0.5
@@ -145,6 +147,9 @@ def quality(
     ``base_failed``: fewer than 50 words, or over half of the words in repeated windows.  ``kept``: not that, and a
     posterior of at least ``least``.
 
+    The statistics are written to the shared folder before they are used: they are needed twice, and an optimizer that
+    pushed them into the votes would evaluate the sorted windows once for every look at a neighbour.
+
     Edge cases: a null, empty or blank text has no words and fails the base; repeated rows count and are returned each;
     very long texts are counted whole; an empty table gives an empty result; a document on which all rules abstain has the
     prior.  Columns of ``docs`` pass through; names that are added (and ``_w``, ``_s``, ``_p``, ``_l``) must be free.
@@ -153,7 +158,7 @@ def quality(
     if clash:
         raise ValueError(f"columns of these names are added: {sorted(clash)}")
     rules = rules or default_rules()
-    counted = statistics(docs, text_col) if counted is None else counted
+    counted = written(statistics(docs, text_col), "quality") if counted is None else counted
     model = fit(counted, rules)
     failed = (F.col("stats.n_words") < 50) | (100 * F.col("stats.n_repeat_words") > 50 * F.col("stats.n_words"))
     odds = model.log_odds({k: F.col(f"votes.{k}") for k in rules})
@@ -167,8 +172,6 @@ def quality(
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, without its text: id, statistics, votes, posterior and verdict; the statistics are made once."""
-    from granary.session import written
-
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counted = written(statistics(picked).drop("text"), "quality")
     return quality(picked, counted=counted)
