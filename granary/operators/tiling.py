@@ -31,19 +31,36 @@ def plan(images: DataFrame, width: Column, height: Column, core: int, halo: int,
     return tiles.withColumns(dict(zip(FIELDS, columns))).drop("_x", "_y", "_w", "_h")
 
 
-def kept_cells(tiles: DataFrame, keys: list[str], width: Column, height: Column, core: int, stride: int) -> DataFrame:
-    """The cells each tile writes: ``keys, row, col``; tiles beyond the last whole cell write none."""
+def kept_spans(tiles: DataFrame, keys: list[str], width: Column, height: Column, core: int, stride: int) -> DataFrame:
+    """The cells each tile writes, one row per tile and grid row: ``keys, row, first, end``; a sliver beyond the grid writes none."""
     rows, cols = grid_size(height, stride), grid_size(width, stride)
-    held = tiles.withColumn("_r", F.least(F.lit(core // stride), rows - F.col("keep_row0"))).withColumn("_c", F.least(F.lit(core // stride), cols - F.col("keep_col0")))
-    held = held.where("_r > 0 and _c > 0")
-    cells = held.withColumn("_i", F.explode(F.sequence(F.lit(0), (F.col("_r") - 1).cast("int")))).withColumn("_j", F.explode(F.sequence(F.lit(0), (F.col("_c") - 1).cast("int"))))
-    return cells.select(*keys, (F.col("keep_row0") + F.col("_i")).cast("bigint").alias("row"), (F.col("keep_col0") + F.col("_j")).cast("bigint").alias("col"))
+    last = lambda start, n: F.least(start + core // stride, n).cast("int")
+    held = tiles.withColumn("_r", last(F.col("keep_row0"), rows)).withColumn("_c", last(F.col("keep_col0"), cols))
+    held = held.where("_r > keep_row0 and _c > keep_col0")
+    return held.select(*keys, F.explode(F.sequence("keep_row0", F.col("_r") - 1)).alias("row"), F.col("keep_col0").alias("first"), F.col("_c").alias("end"))
 
 
-def write_counts(cells: DataFrame, images: DataFrame, key: str, width: Column, height: Column, stride: int) -> DataFrame:
-    """Per image the cells of its grid, those never written and those written more than once."""
-    per_cell = cells.groupBy(key, "row", "col").agg(F.count(F.lit(1)).alias("n"))
-    per = per_cell.groupBy(key).agg(F.count(F.lit(1)).alias("written"), F.count_if(F.col("n") > 1).alias("doubles"))
+def write_counts(spans: DataFrame, images: DataFrame, key: str, width: Column, height: Column, stride: int) -> DataFrame:
+    """Per image the cells of its grid, those never written and those written more than once.
+
+    A grid row's spans, sorted by start, are folded once: how far the row is written at all, and how far twice.  No cell
+    becomes a row.
+    """
+    line = spans.groupBy(key, "row").agg(F.array_sort(F.collect_list(F.struct("first", "end"))).alias("s"))
+    zero = F.lit(0)
+    start = F.struct(zero.alias("once"), zero.alias("twice"), zero.alias("written"), zero.alias("doubles"))
+
+    def step(a: Column, x: Column) -> Column:
+        both = F.least(x.end, a.once)
+        return F.struct(
+            F.greatest(a.once, x.end).alias("once"),
+            F.greatest(a.twice, both).alias("twice"),
+            (a.written + F.greatest(zero, x.end - F.greatest(x.first, a.once))).alias("written"),
+            (a.doubles + F.greatest(zero, both - F.greatest(x.first, a.twice))).alias("doubles"),
+        )
+
+    folded = line.select(key, F.aggregate("s", start, step).alias("f"))
+    per = folded.groupBy(key).agg(F.sum("f.written").alias("written"), F.sum("f.doubles").alias("doubles"))
     out = images.select(key, (grid_size(height, stride) * grid_size(width, stride)).alias("cells")).join(per, key, "left")
     written = F.coalesce("written", F.lit(0))
     return out.select(key, "cells", (F.col("cells") - written).cast("bigint").alias("holes"), F.coalesce("doubles", F.lit(0)).cast("bigint").alias("doubles"))

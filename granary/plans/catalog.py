@@ -591,8 +591,8 @@ SELECT p.p_partkey, CAST((h // 16) * (w // 16) AS BIGINT) AS cells, CAST((h // 1
 """)
 def tile_write_once(spark, d):
     images = _maps(spark, d)
-    cells = tiling.kept_cells(_plan(spark, d), ["p_partkey"], F.col("w"), F.col("h"), 128, 16)
-    return tiling.write_counts(cells, images, "p_partkey", F.col("w"), F.col("h"), 16)
+    spans = tiling.kept_spans(_plan(spark, d), ["p_partkey"], F.col("w"), F.col("h"), 128, 16)
+    return tiling.write_counts(spans, images, "p_partkey", F.col("w"), F.col("h"), 16)
 
 
 @query("""

@@ -160,7 +160,7 @@ def test_episodes(spark):
 def test_tiles_cover_once(spark, h, w, core, halo, stride):
     maps = spark.createDataFrame([(1, w, h)], "k int, w int, h int")
     tiles = tiling.plan(maps, F.col("w"), F.col("h"), core, halo, stride)
-    counts = tiling.write_counts(tiling.kept_cells(tiles, ["k"], F.col("w"), F.col("h"), core, stride), maps, "k", F.col("w"), F.col("h"), stride)
+    counts = tiling.write_counts(tiling.kept_spans(tiles, ["k"], F.col("w"), F.col("h"), core, stride), maps, "k", F.col("w"), F.col("h"), stride)
     r = counts.first()
     assert (r.cells, r.holes, r.doubles) == ((h // stride) * (w // stride), 0, 0)
     tiling.enforce_written_once(counts)
@@ -173,6 +173,15 @@ def test_tiles_cover_once(spark, h, w, core, halo, stride):
     assert len(got) == r.cells and all(g["values"] == [g["row"], g["col"]] for g in got)
 
 
+def test_write_counts_see_holes_and_doubles(spark):
+    spans = spark.createDataFrame([(1, 0, 0, 3), (1, 0, 1, 2), (1, 0, 1, 4), (1, 1, 2, 4), (1, 1, 0, 1)], "k int, row int, first int, end int")
+    maps = spark.createDataFrame([(1, 4, 2), (2, 4, 1)], "k int, w int, h int")
+    got = {r.k: (r.cells, r.holes, r.doubles) for r in tiling.write_counts(spans, maps, "k", F.col("w"), F.col("h"), 1).collect()}
+    assert got == {1: (8, 1, 2), 2: (4, 4, 0)}
+    with pytest.raises(sinks.DataQualityError):
+        tiling.enforce_written_once(tiling.write_counts(spans, maps, "k", F.col("w"), F.col("h"), 1))
+
+
 def test_tile_plan_case(spark):
     tiles = tiling.plan(spark.createDataFrame([(300, 200)], "w int, h int"), F.col("w"), F.col("h"), 128, 32, 16).collect()
     second = next(t for t in tiles if t.keep_col0 == 8 and t.keep_row0 == 0)
