@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.session import small_batches
+from granary.session import small_batches, written
 
 #: Elements whose content isn't text, elements without content, blocks, and those that are boilerplate.
 RAW = frozenset("script style noscript template textarea svg iframe canvas object math title".split())
@@ -294,12 +294,17 @@ def _host(url_col: str):
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: ``host, wrapper, rule, pages, layouts``; pages without a host count as one host, the empty one."""
+    """One row per host: ``host, wrapper, rule, pages, layouts``; pages without a host count as one host, the empty one.
+
+    The table is written, so its size is known when pages are joined with it: it is sent to all tasks if it is below
+    Spark's broadcast threshold, and joined by host, hot hosts split, if it is above.
+    """
     small_batches(pages.sparkSession)
     picked = pages.select(_host(url_col).alias("host"), F.col(html_col).cast("string").alias("html"))
     layouts = picked.mapInArrow(_skeletons, "host string, skeleton string, pages long")
     layouts = layouts.groupBy("host", "skeleton").agg(F.sum("pages").alias("pages"))
-    return layouts.groupBy("host").applyInArrow(_infer, "host string, wrapper string, rule string, pages long, layouts long")
+    found = layouts.groupBy("host").applyInArrow(_infer, "host string, wrapper string, rule string, pages long, layouts long")
+    return written(found, "wrappers")
 
 
 def extract(
