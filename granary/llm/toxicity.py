@@ -211,9 +211,11 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     clean = len(rows) - toxic
     if not toxic or not clean:
         return Model(base=3.0 if toxic and not clean else -3.0)
-    bags = [(set(_WORD.findall((text or "").lower())), bool(y)) for text, y in rows]
+    one: dict[str, str] = {}  # a word's only copy, whichever rows it is in
+    bags = [({one.setdefault(w, w) for w in _WORD.findall((text or "").lower())}, bool(y)) for text, y in rows]
     cuts = lambda bag: {(w[:n], True) for n in STEMS for w in bag if len(w) > n}
     seen: Counter = Counter()
+    del one
     for bag, y in bags:
         if y:
             seen.update((w, False) for w in bag if len(w) > 2)
