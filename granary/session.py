@@ -42,6 +42,11 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def few_files(spark: SparkSession) -> None:
+    """Let small shuffles shrink to partitions of the advisory size, not to one a core: each partition written is a file."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+
+
 def written(df: DataFrame, name: str = "part") -> DataFrame:
     """Cut the lineage of ``df``: write it to the shared folder and read it back.
 
