@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.wordhash import mix, shingle_hashes, slices, word_hashes, words
 from granary.operators.components import connected_components
-from granary.session import forget, small_batches, written
+from granary.session import few_files, forget, small_batches, written
 
 SHINGLE = 5
 SYMBOLS = 40
@@ -270,7 +270,8 @@ def near_duplicates(
     smallest non-null id of its component, else null and kept.  An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
-    length = max(length, symbols)
+    few_files(docs.sparkSession)
+    length, rounds = max(length, symbols), max(1, rounds)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     digests = written(docs.mapInArrow(_digest_batches(shingle, length), _DIGESTS), "digests")
     classes = written(
@@ -329,6 +330,8 @@ def near_duplicates(
     linked = linked.join(merged.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = written(linked.join(names, "component").select("fp", "class_size", "component_id"), "of-class")
+    for done in (shared, sets, classes, labels, merged):
+        forget(done)
     out = digests.select("doc_id", "fp", "n_shingles").join(of_class, "fp", "left")
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
