@@ -1,18 +1,19 @@
 """Interpolated Kneser-Ney character models, one per language, in sorted hash arrays.
 
-Texts are reduced to symbols: a lower-cased letter of the learned alphabet has its own code, other letters share one, and
-each run of anything else is one space.  With SYMBOL_BITS bits a symbol and ORDER symbols a gram, at most
-2 ** (SYMBOL_BITS * ORDER) grams exist however large the corpus is, which bounds what is gathered and broadcast.
+Texts are reduced to symbols: every lower-cased letter has its own code, and each run of anything else is one space.  A
+gram is its symbols packed into one number: code points take POINT_BITS bits each, so ORDER of them fill 63 bits of a long
+and no two grams share a number.  Small alphabets may be coded densely instead, with SYMBOL_BITS bits a symbol.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
 ORDER = 3
-SYMBOL_BITS = 7
+SYMBOL_BITS, POINT_BITS = 7, 21
 SPACE, OTHER = 0, 1
 
 
@@ -39,9 +40,15 @@ def _counted(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, n[found]
 
 
+@cache
+def point_table() -> np.ndarray:
+    """Code of every code point: itself for a letter, 0 for what is no letter."""
+    return np.fromiter((p if chr(p).isalpha() else SPACE for p in range(0x110000)), np.uint32, 0x110000)
+
+
 def code_table(alphabet: list[int]) -> np.ndarray:
     """Code of every code point: 0 for what is no letter, 1 for letters outside the alphabet, from 2 on for its letters."""
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, np.uint32)
     letters = np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
     table[letters] = OTHER
     for code, p in enumerate(sorted(alphabet), OTHER + 1):
@@ -69,18 +76,27 @@ def symbols(texts: list[str], table: np.ndarray) -> Symbols:
 
 def grams(s: Symbols, order: int = ORDER, bits: int = SYMBOL_BITS) -> np.ndarray:
     """The gram that ends at each symbol, oldest symbol highest; spaces stand before a text's start."""
-    out = s.codes.astype(np.uint32)
+    kind = _kind(order, bits)
+    out = s.codes.astype(kind)
     for lag in range(1, order):
-        back = np.zeros(len(out), np.uint32)
+        back = np.zeros(len(out), kind)
         back[lag:] = s.codes[:-lag] if lag < len(out) else 0
         back[s.within < lag] = SPACE
-        out |= back << np.uint32(bits * lag)
+        out |= back << kind(bits * lag)
     return out
 
 
+def _kind(order: int, bits: int) -> type:
+    """Type of a gram's number."""
+    return np.uint32 if order * bits <= 32 else np.uint64
+
+
 @dataclass
 class Model:
-    """Per order from 1: sorted gram hashes and their log-probabilities by language; sorted contexts and their log back-off weights."""
+    """Per order from 1: sorted grams and their log-probabilities by language; sorted contexts and their log back-off weights.
+
+    ``size`` symbols exist; below the unigrams each of them is equally likely.
+    """
 
     languages: list[str]
     keys: list[np.ndarray]
@@ -88,73 +104,76 @@ class Model:
     contexts: list[np.ndarray]
     backs: list[np.ndarray]
     bits: int
+    size: int
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
         """A row of natural logs by language for each gram of the highest order."""
         return self._at(len(self.keys) - 1, codes)
 
     def _at(self, n: int, codes: np.ndarray) -> np.ndarray:
+        if n < 0:
+            return np.full((len(codes), len(self.languages)), -np.log(self.size), np.float32)
         keys = self.keys[n]
-        if n == 0:
-            return self.logs[0][codes]
         at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
         out = self.logs[n][at]
         missing = np.flatnonzero(keys[at] != codes)
         if len(missing):
             lost = codes[missing]
-            context = lost >> np.uint32(self.bits)
+            context = lost >> codes.dtype.type(self.bits)
             own = self.contexts[n]
             c = np.minimum(np.searchsorted(own, context), len(own) - 1)
             back = np.where((own[c] == context)[:, None], self.backs[n][c], np.float32(0))
-            out[missing] = back + self._at(n - 1, lost & np.uint32((1 << self.bits * n) - 1))
+            out[missing] = back + self._at(n - 1, lost & codes.dtype.type((1 << self.bits * n) - 1))
         return out
 
 
-def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER, bits: int = SYMBOL_BITS) -> Model:
+def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER, bits: int = SYMBOL_BITS, size: int = 0) -> Model:
     """Interpolated Kneser-Ney from the highest order's gram counts: continuation counts below, one discount an order.
 
     Discount D = n1 / (n1 + 2 n2); P(w|h) = max(c(hw) - D, 0) / c(h) + D * types(h) / c(h) * P(w|h'); the unigrams are
-    mixed with the uniform distribution, so every symbol has some probability.
+    mixed with the uniform distribution over ``size`` symbols, as many as the bits tell apart by default, so every symbol
+    has some probability.
     """
     names = sorted(counts)
-    space = 1 << bits
+    size = size or 1 << bits
+    kind = _kind(order, bits)
     per: list[list[tuple[np.ndarray, np.ndarray]]] = []
     for name in names:
         codes, n = counts[name]
         by = np.argsort(codes)
-        levels = [(codes[by].astype(np.uint32), n[by].astype(np.float64))]
+        levels = [(codes[by].astype(kind), n[by].astype(np.float64))]
         for k in range(order - 1, 0, -1):
-            lower, types = np.unique(levels[0][0] & np.uint32((1 << bits * k) - 1), return_counts=True)
+            lower, types = np.unique(levels[0][0] & kind((1 << bits * k) - 1), return_counts=True)
             levels.insert(0, (lower, types.astype(np.float64)))
         per.append(levels)
     keys, logs, contexts, backs = [], [], [], []
     for k in range(order):
-        seen = np.unique(np.concatenate([levels[k][0] for levels in per])) if k else np.arange(space, dtype=np.uint32)
-        heads = np.unique(seen >> np.uint32(bits))
+        seen = np.unique(np.concatenate([levels[k][0] for levels in per]))
+        heads = np.unique(seen >> kind(bits))
         probability = np.zeros((len(seen), len(names)))
         weight = np.zeros((len(heads), len(names)))
         for j, levels in enumerate(per):
             codes, n = levels[k]
             ones, twos = float((n == 1).sum()), float((n == 2).sum())
             discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
-            head = np.searchsorted(heads, codes >> np.uint32(bits))
+            head = np.searchsorted(heads, codes >> kind(bits))
             total = np.bincount(head, n, len(heads))
             types = np.bincount(head, minlength=len(heads))
             gamma = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
             own = np.zeros(len(seen))
             own[np.searchsorted(seen, codes)] = np.maximum(n - discount, 0) / total[head]
-            all_heads = np.searchsorted(heads, seen >> np.uint32(bits))
+            all_heads = np.searchsorted(heads, seen >> kind(bits))
             if k:
-                below = np.exp(_lower(keys[k - 1], logs[k - 1], contexts, backs, k, seen & np.uint32((1 << bits * k) - 1), bits)[:, j])
+                below = np.exp(_lower(keys[k - 1], logs[k - 1], contexts, backs, k, seen & kind((1 << bits * k) - 1), bits)[:, j])
             else:
-                below = np.full(len(seen), 1 / space)
+                below = np.full(len(seen), 1 / size)
             probability[:, j] = own + gamma[all_heads] * below
             weight[:, j] = gamma
         keys.append(seen)
         logs.append(np.log(probability).astype(np.float32))
         contexts.append(heads)
         backs.append(np.log(weight).astype(np.float32))
-    return Model(names, keys, logs, contexts, backs, bits)
+    return Model(names, keys, logs, contexts, backs, bits, size)
 
 
 def _lower(keys, logs, contexts, backs, k, codes, bits):

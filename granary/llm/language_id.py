@@ -2,7 +2,7 @@
 
 Each language value found in the training rows gets an interpolated Kneser-Ney model (``char_lm``); a text's language is
 the one with the lowest cross-entropy a symbol.  Gram counts come from all training rows: each task counts its own rows,
-Spark adds the counts up, and at most 2 ** 21 grams a language reach the driver.
+and Spark adds the counts up.  Every letter of any script is its own symbol.
 
 Rejection is calibrated on the same counts: they give, exactly and without another pass, the mean and deviation of a
 language's log-probabilities over its own training text.  A text is rejected if its best cross-entropy lies more than
@@ -41,19 +41,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
     return [(keys, np.bincount(back, np.concatenate([n for _, n in parts])).astype(np.int64))]
 
 
-def _count_letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = []
-    for batch in batches:
-        for _, texts in _texts(batch.column(0)):
-            parts.append(char_lm.letter_counts(texts))
-            if len(parts) > 64:
-                parts = _merge(parts)
-    if parts:
-        ((keys, n),) = _merge(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n)], ["point", "n"])
-
-
-def _count_grams(table: np.ndarray, order: int):
+def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
@@ -62,9 +50,9 @@ def _count_grams(table: np.ndarray, order: int):
                 for name, text in zip(batch.column(0).slice(first, len(texts)).to_pylist(), texts):
                     by.setdefault(name, []).append(text)
                 for name, own in by.items():
-                    s = char_lm.symbols(own, table)
+                    s = char_lm.symbols(own, char_lm.point_table())
                     parts = found.setdefault(name, [])
-                    parts.append(np.unique(char_lm.grams(s, order), return_counts=True))
+                    parts.append(np.unique(char_lm.grams(s, order, char_lm.POINT_BITS), return_counts=True))
                     if len(parts) > 32:
                         found[name] = _merge(parts)
         for name, parts in found.items():
@@ -76,23 +64,17 @@ def _count_grams(table: np.ndarray, order: int):
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[char_lm.Model, np.ndarray, np.ndarray] | None:
-    """Models of all languages of ``docs``; the code table; mean and deviation of each language's log-probabilities."""
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[char_lm.Model, np.ndarray] | None:
+    """Models of all languages of ``docs``; mean and deviation of each language's log-probabilities."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    room = (1 << char_lm.SYMBOL_BITS) - 2
-    letters = (
-        rows.select("text").mapInArrow(_count_letters, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "point").limit(room).collect()
-    )
-    table = char_lm.code_table([r.point for r in letters])
     order = char_lm.ORDER
-    counts = rows.mapInArrow(_count_grams(table, order), "lang string, gram long, n long")
+    counts = rows.mapInArrow(_count_grams(order), "lang string, gram long, n long")
     counts = written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     while order > 1 and counts.count() > MOST_GRAMS:
         order -= 1
-        mask = (1 << char_lm.SYMBOL_BITS * order) - 1
+        mask = (1 << char_lm.POINT_BITS * order) - 1
         counts = written(
             counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")), "grams"
         )
@@ -102,19 +84,19 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
     if not len(names):
         return None
     by = {name: (codes[names == name], n[names == name]) for name in set(names.tolist())}
-    model = char_lm.fit(by, order)
+    model = char_lm.fit(by, order, char_lm.POINT_BITS, 1 + np.count_nonzero(char_lm.point_table()))
     moments = []
     for j, name in enumerate(model.languages):
-        logs = -model.log_probabilities(by[name][0].astype(np.uint32))[:, j].astype(float)
+        logs = -model.log_probabilities(by[name][0].astype(np.uint64))[:, j].astype(float)
         weight = by[name][1] / by[name][1].sum()
         mean = float((logs * weight).sum())
         moments.append((mean, float(((logs - mean) ** 2 * weight).sum()) ** 0.5))
-    return model, table, np.array(moments)
+    return model, np.array(moments)
 
 
 def predict(
     docs: DataFrame,
-    trained: tuple[char_lm.Model, np.ndarray, np.ndarray] | None,
+    trained: tuple[char_lm.Model, np.ndarray] | None,
     text_col: str = "text",
     slack: float = SLACK,
     chance: float = CHANCE,
@@ -126,17 +108,17 @@ def predict(
             "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"),
             F.lit(True).alias("rejected"),
         )
-    model, table, moments = trained
-    shared = docs.sparkSession.sparkContext.broadcast((model, table, moments))
+    model, moments = trained
+    shared = docs.sparkSession.sparkContext.broadcast((model, moments))
     languages = np.array(model.languages, object)
 
     def score(texts: list[str]) -> tuple[list, ...]:
-        lm, codes, moment = shared.value
-        s = char_lm.symbols(texts, codes)
+        lm, moment = shared.value
+        s = char_lm.symbols(texts, char_lm.point_table())
         length = np.diff(s.begin)
         letters = np.add.reduceat(np.append(s.codes != char_lm.SPACE, False), s.begin[:-1]) if len(texts) else np.zeros(0)
         letters = np.where(length > 0, letters, 0)
-        logs = lm.log_probabilities(char_lm.grams(s, len(lm.keys)))
+        logs = lm.log_probabilities(char_lm.grams(s, len(lm.keys), char_lm.POINT_BITS))
         sums = np.zeros((len(logs) + 1, len(languages)))
         np.cumsum(logs, axis=0, dtype=np.float64, out=sums[1:])
         entropy = -(sums[s.begin[1:]] - sums[s.begin[:-1]]) / np.maximum(length, 1)[:, None]

@@ -489,6 +489,18 @@ def test_language_edges(spark):
         language_id.predict(docs.withColumn("score", F.lit(1)), language_id.train(docs))
 
 
+def test_scripts_beside_many_letters(spark):
+    rng = random.Random(6)
+    script = lambda first, n: [chr(first + k) for k in range(n)]
+    scripts = {"zh": script(0x4E00, 400), "ko": script(0xAC00, 400), "ja": script(0x3041, 80), "el": script(0x3B1, 17), "th": script(0xE01, 40), "xx": script(0x430, 32), "en": script(97, 26)}
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    rows = [(i, " ".join(word(letters) for _ in range(40 if name in ("xx", "en") else 8)), name) for i, (name, letters) in enumerate(list(scripts.items()) * 40)]
+    unseen = [(10_000 + i, " ".join(word(script(0x10A0 + 48, 33)) for _ in range(8)), None) for i in range(5)]
+    docs = spark.createDataFrame(rows + unseen, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language_id.identify_languages(docs).collect()}
+    assert all(got[i].lang_pred == name for i, _, name in rows) and all(got[i].rejected for i, _, _ in unseen)
+
+
 # -- queries and pipeline ------------------------------------------------------------------------------------------------
 
 
