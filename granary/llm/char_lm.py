@@ -92,13 +92,12 @@ def _kind(order: int, bits: int) -> type:
 
 
 @dataclass
-class Model:
-    """Per order from 1: sorted grams and their log-probabilities by language; sorted contexts and their log back-off weights.
+class Language:
+    """Per order from 1: sorted grams and their log-probabilities; sorted contexts and their log back-off weights.
 
     ``size`` symbols exist; below the unigrams each of them is equally likely.
     """
 
-    languages: list[str]
     keys: list[np.ndarray]
     logs: list[np.ndarray]
     contexts: list[np.ndarray]
@@ -107,12 +106,12 @@ class Model:
     size: int
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
-        """A row of natural logs by language for each gram of the highest order."""
+        """Natural log of each gram of the highest order."""
         return self._at(len(self.keys) - 1, codes)
 
     def _at(self, n: int, codes: np.ndarray) -> np.ndarray:
         if n < 0:
-            return np.full((len(codes), len(self.languages)), -np.log(self.size), np.float32)
+            return np.full(len(codes), -np.log(self.size), np.float32)
         keys = self.keys[n]
         at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
         out = self.logs[n][at]
@@ -122,60 +121,73 @@ class Model:
             context = lost >> codes.dtype.type(self.bits)
             own = self.contexts[n]
             c = np.minimum(np.searchsorted(own, context), len(own) - 1)
-            back = np.where((own[c] == context)[:, None], self.backs[n][c], np.float32(0))
+            back = np.where(own[c] == context, self.backs[n][c], np.float32(0))
             out[missing] = back + self._at(n - 1, lost & codes.dtype.type((1 << self.bits * n) - 1))
         return out
 
 
+@dataclass
+class Model:
+    """Languages by name, and the model of each."""
+
+    languages: list[str]
+    models: list[Language]
+
+    def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
+        """A row of natural logs by language for each gram of the highest order."""
+        return np.stack([m.log_probabilities(codes) for m in self.models], axis=1)
+
+
 def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER, bits: int = SYMBOL_BITS, size: int = 0) -> Model:
+    """Models of all languages, each fitted by itself."""
+    names = sorted(counts)
+    return Model(names, [fit_language(*counts[name], order, bits, size) for name in names])
+
+
+def fit_language(codes: np.ndarray, n: np.ndarray, order: int = ORDER, bits: int = SYMBOL_BITS, size: int = 0) -> Language:
     """Interpolated Kneser-Ney from the highest order's gram counts: continuation counts below, one discount an order.
 
     Discount D = n1 / (n1 + 2 n2); P(w|h) = max(c(hw) - D, 0) / c(h) + D * types(h) / c(h) * P(w|h'); the unigrams are
     mixed with the uniform distribution over ``size`` symbols, as many as the bits tell apart by default, so every symbol
     has some probability.
     """
-    names = sorted(counts)
     size = size or 1 << bits
     kind = _kind(order, bits)
-    per: list[list[tuple[np.ndarray, np.ndarray]]] = []
-    for name in names:
-        codes, n = counts[name]
-        by = np.argsort(codes)
-        levels = [(codes[by].astype(kind), n[by].astype(np.float64))]
-        for k in range(order - 1, 0, -1):
-            lower, types = np.unique(levels[0][0] & kind((1 << bits * k) - 1), return_counts=True)
-            levels.insert(0, (lower, types.astype(np.float64)))
-        per.append(levels)
+    by = np.argsort(codes)
+    levels = [(codes[by].astype(kind), n[by].astype(np.float64))]
+    for k in range(order - 1, 0, -1):
+        lower, types = np.unique(levels[0][0] & kind((1 << bits * k) - 1), return_counts=True)
+        levels.insert(0, (lower, types.astype(np.float64)))
     keys, logs, contexts, backs = [], [], [], []
-    for k in range(order):
-        seen = np.unique(np.concatenate([levels[k][0] for levels in per]))
-        heads = np.unique(seen >> kind(bits))
-        probability = np.zeros((len(seen), len(names)))
-        weight = np.zeros((len(heads), len(names)))
-        for j, levels in enumerate(per):
-            codes, n = levels[k]
-            ones, twos = float((n == 1).sum()), float((n == 2).sum())
-            discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
-            head = np.searchsorted(heads, codes >> kind(bits))
-            total = np.bincount(head, n, len(heads))
-            types = np.bincount(head, minlength=len(heads))
-            gamma = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
-            own = np.zeros(len(seen))
-            own[np.searchsorted(seen, codes)] = np.maximum(n - discount, 0) / total[head]
-            all_heads = np.searchsorted(heads, seen >> kind(bits))
-            if k:
-                below = np.exp(_lower(keys[k - 1], logs[k - 1], contexts, backs, k, seen & kind((1 << bits * k) - 1), bits)[:, j])
-            else:
-                below = np.full(len(seen), 1 / size)
-            probability[:, j] = own + gamma[all_heads] * below
-            weight[:, j] = gamma
+    probability = np.zeros(0)
+    for k, (seen, n) in enumerate(levels):
+        ones, twos = float((n == 1).sum()), float((n == 2).sum())
+        discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
+        heads, head = np.unique(seen >> kind(bits), return_inverse=True)
+        total = np.bincount(head, n)
+        gamma = discount * np.bincount(head) / total
+        # every suffix of a seen gram was seen itself
+        below = probability[np.searchsorted(keys[k - 1], seen & kind((1 << bits * k) - 1))] if k else 1 / size
+        probability = np.maximum(n - discount, 0) / total[head] + gamma[head] * below
         keys.append(seen)
         logs.append(np.log(probability).astype(np.float32))
         contexts.append(heads)
-        backs.append(np.log(weight).astype(np.float32))
-    return Model(names, keys, logs, contexts, backs, bits, size)
+        backs.append(np.log(gamma).astype(np.float32))
+    return Language(keys, logs, contexts, backs, bits, size)
+
+
+def pack(m: Language) -> tuple[list[int], bytes]:
+    """Lengths of a model's arrays and their bytes; every array begins at a multiple of 8."""
+    arrays = [x for level in zip(m.keys, m.contexts, m.logs, m.backs) for x in level]
+    return [len(x) for x in arrays], b"".join(x.tobytes() + bytes(-x.nbytes % 8) for x in arrays)
 
 
-def _lower(keys, logs, contexts, backs, k, codes, bits):
-    """Lower-order logs: every suffix of a seen gram was seen itself, in some language."""
-    return logs[np.searchsorted(keys, codes)]
+def unpack(lengths: list[int], data: np.ndarray, bits: int, size: int) -> Language:
+    """The model over packed bytes, which are viewed in place; ``bits`` must fill grams of 64 bits."""
+    arrays, at = [], 0
+    for k, n in enumerate(lengths):
+        kind = np.dtype(np.uint64 if k % 4 < 2 else np.float32)
+        arrays.append(data[at : at + n * kind.itemsize].view(kind))
+        at += -(-n * kind.itemsize // 8) * 8
+    keys, contexts, logs, backs = (arrays[k::4] for k in range(4))
+    return Language(keys, logs, contexts, backs, bits, size)

@@ -2,7 +2,9 @@
 
 Each language value found in the training rows gets an interpolated Kneser-Ney model (``char_lm``); a text's language is
 the one with the lowest cross-entropy a symbol.  Gram counts come from all training rows: each task counts its own rows,
-and Spark adds the counts up.  Every letter of any script is its own symbol.
+and Spark adds the counts up.  Every letter of any script is its own symbol, and the order is the same at every size: a
+task fits one language, the driver passes the packed models on to one file in pieces, every node gets a copy of the file,
+and all Python workers of a node map that copy into memory.  One language's grams must fit the memory of a task.
 
 Rejection is calibrated on the same counts: they give, exactly and without another pass, the mean and deviation of a
 language's log-probabilities over its own training text.  A text is rejected if its best cross-entropy lies more than
@@ -11,21 +13,27 @@ language's log-probabilities over its own training text.  A text is rejected if
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm import char_lm
 from granary.llm.wordhash import slices
-from granary.session import small_batches, written
+from granary.session import forget, small_batches, written
 
 #: Deviations by which a text's cross-entropy may exceed the mean of its language, and standard errors at its length.
 SLACK, CHANCE = 1.5, 6.0
-#: Rows (language, gram) that may reach the driver; with more, the models take one symbol less of context.
-MOST_GRAMS = 8_000_000
+#: Bytes of a packed model that go through the driver at a time, and gram counts that a counting task holds, about.
+PIECE, HELD_GRAMS = 8 << 20, 2_000_000
 UNKNOWN = "und"
 
 
@@ -42,6 +50,13 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray,
 
 
 def _count_grams(order: int):
+    def counted(found: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        for name, parts in found.items():
+            ((keys, n),) = _merge(parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"]
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
@@ -55,48 +70,86 @@ def _count_grams(order: int):
                     parts.append(np.unique(char_lm.grams(s, order, char_lm.POINT_BITS), return_counts=True))
                     if len(parts) > 32:
                         found[name] = _merge(parts)
-        for name, parts in found.items():
-            ((keys, n),) = _merge(parts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "gram", "n"]
-            )
+            if sum(len(keys) for parts in found.values() for keys, _ in parts) > HELD_GRAMS:
+                yield from counted(found)
+                found.clear()
+        yield from counted(found)
 
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[char_lm.Model, np.ndarray] | None:
-    """Models of all languages of ``docs``; mean and deviation of each language's log-probabilities."""
+def _symbols() -> int:
+    """How many symbols exist: all letters and the space."""
+    return 1 + int(np.count_nonzero(char_lm.point_table()))
+
+
+def _fit(piece: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        n = table["n"].to_numpy()
+        by = np.argsort(codes := table["gram"].to_numpy())
+        one = char_lm.fit_language(codes, n, char_lm.ORDER, char_lm.POINT_BITS, _symbols())
+        logs, weight = -one.logs[-1].astype(float), n[by] / n.sum()
+        mean = float((logs * weight).sum())
+        deviation = float(((logs - mean) ** 2 * weight).sum()) ** 0.5
+        lengths, data = char_lm.pack(one)
+        rows = [
+            pa.record_batch({
+                "lang": pa.array([key[0].as_py()], pa.string()), "piece": pa.array([k], pa.int64()), "data": pa.array([data[at : at + piece]], pa.binary()),
+                "lengths": pa.array([lengths], pa.list_(pa.int64())), "mean": pa.array([mean]), "deviation": pa.array([deviation]),
+            })
+            for k, at in enumerate(range(0, len(data), piece))
+        ]
+        return pa.Table.from_batches(rows)
+
+    return run
+
+
+@dataclass
+class Models:
+    """A file on every node with the packed models, and name, first byte, array lengths, mean and deviation of each language."""
+
+    file: str
+    languages: list[tuple[str, int, list[int], float, float]]
+
+    def opened(self) -> list[char_lm.Language]:
+        data = np.memmap(SparkFiles.get(self.file), np.uint8, "r")
+        return [char_lm.unpack(lengths, data[first:], char_lm.POINT_BITS, _symbols()) for _, first, lengths, _, _ in self.languages]
+
+
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Models | None:
+    """Models of all languages of ``docs``, with mean and deviation of each language's log-probabilities."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    order = char_lm.ORDER
-    counts = rows.mapInArrow(_count_grams(order), "lang string, gram long, n long")
-    counts = written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    while order > 1 and counts.count() > MOST_GRAMS:
-        order -= 1
-        mask = (1 << char_lm.POINT_BITS * order) - 1
-        counts = written(
-            counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")), "grams"
-        )
-    found = counts.toArrow()
-    names = np.array(found["lang"].to_pylist(), object)
-    codes, n = found["gram"].to_numpy(), found["n"].to_numpy()
-    if not len(names):
+    counts = rows.mapInArrow(_count_grams(char_lm.ORDER), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    fitted = counts.groupBy("lang").applyInArrow(
+        _fit(PIECE), "lang string, piece long, data binary, lengths array<long>, mean double, deviation double"
+    )
+    fitted = written(fitted, "models")
+    first, languages, at = {}, [], 0
+    for r in fitted.select("lang", "piece", F.length("data").alias("n"), "lengths", "mean", "deviation").orderBy("lang", "piece").collect():
+        if r.piece == 0:
+            languages.append((r.lang, at, r.lengths, r.mean, r.deviation))
+        first[r.lang, r.piece] = at
+        at += r.n
+    if not languages:
         return None
-    by = {name: (codes[names == name], n[names == name]) for name in set(names.tolist())}
-    model = char_lm.fit(by, order, char_lm.POINT_BITS, 1 + np.count_nonzero(char_lm.point_table()))
-    moments = []
-    for j, name in enumerate(model.languages):
-        logs = -model.log_probabilities(by[name][0].astype(np.uint64))[:, j].astype(float)
-        weight = by[name][1] / by[name][1].sum()
-        mean = float((logs * weight).sum())
-        moments.append((mean, float(((logs - mean) ** 2 * weight).sum()) ** 0.5))
-    return model, np.array(moments)
+    folder = tempfile.mkdtemp(prefix="granary-models-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"granary-models-{uuid.uuid4().hex}"
+    with open(f"{folder}/{name}", "wb") as f:
+        for r in fitted.select("lang", "piece", "data").toLocalIterator():
+            f.seek(first[r.lang, r.piece])
+            f.write(r.data)
+    forget(fitted)
+    spark.sparkContext.addFile(f"{folder}/{name}")
+    return Models(name, languages)
 
 
 def predict(
     docs: DataFrame,
-    trained: tuple[char_lm.Model, np.ndarray] | None,
+    trained: Models | None,
     text_col: str = "text",
     slack: float = SLACK,
     chance: float = CHANCE,
@@ -108,20 +161,20 @@ def predict(
             "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"),
             F.lit(True).alias("rejected"),
         )
-    model, moments = trained
-    shared = docs.sparkSession.sparkContext.broadcast((model, moments))
-    languages = np.array(model.languages, object)
+    languages = [name for name, *_ in trained.languages]
+    moment = np.array([own[3:] for own in trained.languages])
 
-    def score(texts: list[str]) -> tuple[list, ...]:
-        lm, moment = shared.value
+    def score(models: list[char_lm.Language], texts: list[str]) -> tuple[list, ...]:
         s = char_lm.symbols(texts, char_lm.point_table())
         length = np.diff(s.begin)
         letters = np.add.reduceat(np.append(s.codes != char_lm.SPACE, False), s.begin[:-1]) if len(texts) else np.zeros(0)
         letters = np.where(length > 0, letters, 0)
-        logs = lm.log_probabilities(char_lm.grams(s, len(lm.keys), char_lm.POINT_BITS))
-        sums = np.zeros((len(logs) + 1, len(languages)))
-        np.cumsum(logs, axis=0, dtype=np.float64, out=sums[1:])
-        entropy = -(sums[s.begin[1:]] - sums[s.begin[:-1]]) / np.maximum(length, 1)[:, None]
+        grams, at = np.unique(char_lm.grams(s, char_lm.ORDER, char_lm.POINT_BITS), return_inverse=True)
+        entropy = np.zeros((len(texts), len(models)))
+        sums = np.zeros(len(at) + 1)
+        for j, lm in enumerate(models):
+            np.cumsum(lm.log_probabilities(grams)[at], dtype=np.float64, out=sums[1:])
+            entropy[:, j] = -(sums[s.begin[1:]] - sums[s.begin[:-1]]) / np.maximum(length, 1)
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(best)), best]
         odds = np.exp(-(entropy - low[:, None]) * np.minimum(length, 40)[:, None])
@@ -129,7 +182,7 @@ def predict(
         bad = low > mean + deviation * (slack + chance / np.sqrt(np.maximum(length, 1)))
         known = letters > 0
         return (
-            [str(languages[b]) if k else UNKNOWN for b, k in zip(best, known)],
+            [languages[b] if k else UNKNOWN for b, k in zip(best, known)],
             np.where(known, 1 / odds.sum(axis=1), 0.0).tolist(),
             [float(x) if k else None for x, k in zip(low, known)],
             (bad | ~known).tolist(),
@@ -138,11 +191,12 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["lang_pred", "score", "cross_entropy", "rejected"]
         kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
+        models = trained.opened()
         for batch in batches:
             at = batch.schema.get_field_index("_text")
             for first, texts in _texts(batch.column(at)):
                 rest = [c.slice(first, len(texts)) for k, c in enumerate(batch.columns) if k != at]
-                new = [pa.array(x, k) for x, k in zip(score(texts), kinds)]
+                new = [pa.array(x, k) for x, k in zip(score(models, texts), kinds)]
                 labels = [f.name for k, f in enumerate(batch.schema) if k != at]
                 yield pa.RecordBatch.from_arrays(rest + new, labels + names)
 

@@ -501,6 +501,19 @@ def test_scripts_beside_many_letters(spark):
     assert all(got[i].lang_pred == name for i, _, name in rows) and all(got[i].rejected for i, _, _ in unseen)
 
 
+def test_many_grams_keep_the_order(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_GRAMS", 20, raising=False)
+    monkeypatch.setattr(language_id, "PIECE", 100, raising=False)
+    texts = {"en": "the cat sat on the mat and the dog ran", "de": "der Hund lief und die Katze saß auf der Matte"}
+    docs = spark.createDataFrame([(k, t, name) for k, (name, t) in enumerate(texts.items())], "doc_id long, text string, lang string")
+    grams = {name: char_lm.grams(char_lm.symbols([t], char_lm.point_table()), 3, 21) for name, t in texts.items()}
+    size = 1 + sum(chr(p).isalpha() for p in range(0x110000))
+    model = char_lm.fit({name: np.unique(g, return_counts=True) for name, g in grams.items()}, 3, 21, size)
+    trained = language_id.train(docs)
+    got = {r.lang: r.cross_entropy for r in language_id.predict(docs, trained).collect()}
+    assert got == pytest.approx({name: -model.log_probabilities(g).mean(axis=0).max() for name, g in grams.items()}, rel=1e-5)
+
+
 # -- queries and pipeline ------------------------------------------------------------------------------------------------
 
 
