@@ -1,7 +1,7 @@
 """Toxicity: misspelling-tolerant lexicon matches in context.
 
 The lexicon is learned from labelled rows of the training fold: words, and stems (beginnings of words), that are far
-likelier in rows marked toxic.  It is kept as a trie.  A Levenshtein automaton of at most one edit is intersected with that
+likelier in rows marked toxic.  Whole tokens are matched, with inner digits and symbols.  It is kept as a trie.  A Levenshtein automaton of at most one edit is intersected with that
 trie: a state is the set of (trie node, edits spent) pairs that a word read so far can be in.  States and steps are made
 once, when first met, and kept, so each distinct word of a text costs a few table steps, and words far from every term die
 after some letters.  Each match is weighed by the log-odds learned for its term and by its context: a match inside
@@ -49,6 +49,8 @@ REPORTING = frozenset(
 )
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Letters and digits of a token, and what one symbol joins.
+_RUN = re.compile(r"[^\W_]+")
 _SHAPE = re.compile(r"[^\W\d_]+|[" + QUOTES + "]")
 
 
@@ -57,8 +59,15 @@ class Lexicon:
 
     KEPT_STATES = 200_000
 
-    def __init__(self, terms: dict[tuple[str, bool], float]):
-        """``terms``: weight by (letters, whether it is a stem)."""
+    def __init__(self, terms: dict[tuple[str, bool], float], loose: bool = False, plain: frozenset[str] = frozenset()):
+        """``terms``: weight by (letters, whether it is a stem).
+
+        Edits may not touch the first letter, and only whole terms of FUZZY_LETTERS take them.  If ``loose``, they may be
+        anywhere, in whole terms of any length and stems of FUZZY_LETTERS; ``plain`` words then are no misspellings.
+        """
+        self.loose, self.plain = loose, plain
+        self.near_stems: set[int] = set()
+        self.short = {k for k, (letters, _) in enumerate(terms) if len(letters) < FUZZY_LETTERS}
         self.weights = list(terms.values())
         self.next: list[dict[str, int]] = [{}]
         self.whole: dict[int, int] = {}
@@ -72,21 +81,23 @@ class Lexicon:
                     self.next.append({})
                 path.append(node)
             (self.stem if is_stem else self.whole)[node] = k
-            if len(letters) >= FUZZY_LETTERS and not is_stem:
+            if len(letters) >= FUZZY_LETTERS and (loose or not is_stem) or loose and not is_stem:
                 self.fuzzy.update(path)
+                if is_stem:
+                    self.near_stems.add(node)
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[tuple[frozenset, int]] = []
+        self.states: list[tuple[frozenset, tuple[int, int]]] = []
         self.numbers: dict[tuple, int] = {}
         self.steps: list[dict[str, int]] = []
-        self.start = self._number(self._closed({(0, 0)}), -1)
+        self.start = self._number(self._closed({(0, 0)}), (-1, -1))
 
     def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """Also what is reached by leaving out a letter of a term, but for the first."""
-        return frozenset(pairs | {(n, 1) for node, e in pairs if node and not e for n in self.next[node].values() if n in self.fuzzy})
+        """Also what is reached by leaving out a letter of a term, but for the first unless loose."""
+        return frozenset(pairs | {(n, 1) for node, e in pairs if (node or self.loose) and not e for n in self.next[node].values() if n in self.fuzzy})
 
-    def _number(self, pairs: frozenset, stem: int) -> int:
+    def _number(self, pairs: frozenset, stem: tuple[int, int]) -> int:
         key = (pairs, stem)
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
@@ -95,20 +106,22 @@ class Lexicon:
         return self.numbers[key]
 
     def _step(self, state: int, letter: str) -> int:
-        pairs, stem = self.states[state]
+        pairs, (stem, near) = self.states[state]
         reached: set[tuple[int, int]] = set()
         for node, edits in pairs:
             n = self.next[node].get(letter)
             if n is not None and (not edits or n in self.fuzzy):
                 reached.add((n, edits))
-            if not edits and node in self.fuzzy and node:  # the first letter must be right
+            if not edits and node in self.fuzzy and (node or self.loose):  # else the first letter must be right
                 reached.add((node, 1))
                 reached.update((m, 1) for m in self.next[node].values() if m in self.fuzzy)
         if stem < 0:
             stem = max((self.stem[n] for n, e in reached if not e and n in self.stem), default=-1)
         pairs = self._closed(reached)
+        if near < 0:
+            near = max((self.stem[n] for n, e in pairs if e and n in self.near_stems), default=-1)
         exact = {n for n, e in pairs if not e}
-        return self._number(frozenset(p for p in pairs if not p[1] or p[0] not in exact), stem)
+        return self._number(frozenset(p for p in pairs if not p[1] or p[0] not in exact), (stem, near))
 
     def match(self, word: str) -> tuple[int, int] | None:
         """Number of the term that a lower-case word is, begins with, or is one edit from; and 0, 1 or 2 for these three."""
@@ -122,27 +135,52 @@ class Lexicon:
             state = step
             if state == self.dead:
                 return None
-        pairs, stem = self.states[state]
+        pairs, (stem, near) = self.states[state]
         best = None
         for node, edits in pairs:
             k = self.whole.get(node)
             if k is not None and (best is None or (2 * edits, -self.weights[k]) < (best[1], -self.weights[best[0]])):
                 best = (k, 2 * edits)
-        return best if best and not best[1] else (stem, 1) if stem >= 0 else best
+        if best and not best[1]:
+            return best
+        if stem >= 0:
+            return stem, 1
+        if word in self.plain:
+            return None
+        return best or ((near, 2) if near >= 0 else None)
 
     @property
     def dead(self) -> int:
-        return self.numbers.get((frozenset(), -1), -1)
+        return self.numbers.get((frozenset(), (-1, -1)), -1)
 
 
 @dataclass
 class Model:
-    """Terms with log-odds, the weight of quoted matches and of misspelled ones, and the log-odds of a row without a match."""
+    """Terms with log-odds, the weights of quoted matches and of misspelled terms, long and short, and the log-odds of a row without a match.
+
+    ``plain`` holds words an edit from a term that clean rows use.
+    """
 
     terms: dict[tuple[str, bool], float] = field(default_factory=dict)
     base: float = -3.0
     quoted: float = 0.35
     misspelled: float = 0.8
+    short: float = 0.4
+    plain: frozenset[str] = frozenset()
+
+    def lexicon(self) -> Lexicon:
+        return Lexicon(self.terms, True, self.plain)
+
+
+def spellings(token: str) -> list[str]:
+    """What of a lower-case token may be a term or one edit from it: its words, runs with a digit, and words around one symbol."""
+    found = _WORD.findall(token)
+    if "".join(found) == token:
+        return found
+    runs = list(_RUN.finditer(token))
+    found += [r[0] for r in runs if not r[0].isalpha()]
+    found += [token[a.start() : b.end()] for a, b in zip(runs, runs[1:]) if b.start() - a.end() == 1 and (a[0] + b[0]).isalpha()]
+    return found
 
 
 def matches(text: str, lexicon: Lexicon, known: dict[str, list[str] | None], terms: dict[str, tuple[int, int]]) -> list[tuple[int, int, bool]]:
@@ -157,7 +195,7 @@ def matches(text: str, lexicon: Lexicon, known: dict[str, list[str] | None], ter
             own = known[token]
         else:
             own = None
-            for word in _WORD.findall(token):
+            for word in spellings(token):
                 if (m := lexicon.match(word)) is not None:
                     terms[word] = m
                     own = [*(own or ()), word]
@@ -176,11 +214,12 @@ def matches(text: str, lexicon: Lexicon, known: dict[str, list[str] | None], ter
     return found
 
 
-def likelihood(found: list[tuple[int, int, bool]], weights: list[float], model: Model) -> float:
+def likelihood(found: list[tuple[int, int, bool]], weights: list[float], model: Model, short: frozenset[int] | set[int] = frozenset()) -> float:
     """Probability of label 1: each term counts once, by its strongest context."""
     best: dict[int, float] = {}
     for term, kind, quoted in found:
-        w = weights[term] * (model.misspelled if kind == 2 else 1.0) * (model.quoted if quoted else 1.0)
+        wrong = model.short if short and term in short else model.misspelled
+        w = weights[term] * (wrong if kind == 2 else 1.0) * (model.quoted if quoted else 1.0)
         best[term] = max(best.get(term, 0.0), w)
     total = model.base + sum(best.values())
     return 1 / (1 + exp(-max(-30.0, min(30.0, total))))
@@ -250,8 +289,16 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         if len(chosen) >= MOST_TERMS:
             break
     model = Model(chosen)
-    lexicon, known, terms = Lexicon(chosen), {}, {}
-    none, groups = [0, 0], {"quoted": [0, 0], "misspelled": [0, 0], "plain": [0, 0]}
+    lexicon, known, terms = model.lexicon(), {}, {}
+    near: dict[str, list[int]] = {}
+    for text, y in rows:
+        own = {w for token in set((text or "").lower().split()) for w in spellings(token)}
+        for w in own:
+            if w in near or (m := lexicon.match(w)) is not None and m[1] == 2:
+                near.setdefault(w, [0, 0])[y] += 1
+    model.plain = frozenset(w for w, (c, p) in near.items() if c and (p + 0.5) / toxic < LEAST_RATIO * (c + 0.5) / clean)
+    lexicon = model.lexicon()
+    none, groups = [0, 0], {"quoted": [0, 0], "misspelled": [0, 0], "short": [0, 0], "plain": [0, 0]}
     for text, y in rows[:CONTEXT_ROWS]:
         found = matches(text or "", lexicon, known, terms)
         if not found:
@@ -259,7 +306,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         elif all(q for _, _, q in found):
             groups["quoted"][bool(y)] += 1
         elif all(k == 2 for _, k, _ in found):
-            groups["misspelled"][bool(y)] += 1
+            groups["short" if all(t in lexicon.short for t, _, _ in found) else "misspelled"][bool(y)] += 1
         else:
             groups["plain"][bool(y)] += 1
     odds = lambda g: log((g[1] + 0.5) / (g[0] + 0.5))
@@ -269,6 +316,8 @@ def fit(rows: list[tuple[str, int]]) -> Model:
         model.quoted = max(0.0, min(1.0, (odds(groups["quoted"]) - model.base) / gain))
     if sum(groups["misspelled"]) >= 5:
         model.misspelled = max(0.0, min(1.0, (odds(groups["misspelled"]) - model.base) / gain))
+    if sum(groups["short"]) >= 5:
+        model.short = max(0.0, min(1.0, (odds(groups["short"]) - model.base) / gain))
     return model
 
 
@@ -298,7 +347,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        lexicon, weights = Lexicon(m.terms), list(m.terms.values())
+        lexicon, weights = m.lexicon(), list(m.terms.values())
         known: dict[str, list[str] | None] = {}
         terms: dict[str, tuple[int, int]] = {}
         for batch in batches:
@@ -306,7 +355,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             for text in batch.column(1):
                 found = matches(text.as_py() or "", lexicon, known, terms)
                 quoted, wrong = sum(q for _, _, q in found), sum(k == 2 for _, k, _ in found)
-                out.append((likelihood(found, weights, m), len(found), quoted, wrong))
+                out.append((likelihood(found, weights, m, lexicon.short), len(found), quoted, wrong))
                 if len(known) > 100_000:
                     known.clear()
                     terms.clear()

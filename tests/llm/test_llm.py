@@ -296,6 +296,23 @@ def test_quotation_weighs_less():
     assert score("you idiot go away") > 0.9 > 0.5 > score('the word "idiot" is an insult') > score("a kind note") and score("you idoit! idiott") > 0.5
 
 
+def test_misspellings_of_every_kind(spark):
+    model = toxicity.Model({("idiot", False): 9.0, ("moron", False): 9.0, ("stupid", False): 9.0, ("pathetic", False): 9.0, ("scum", False): 9.0, ("lowei", True): 9.0}, base=-4.0)
+    wrong = ["id1ot", "m0ron", "st*pid", "p_thetic", "ediot", "1diot", "so,st*pid!", "scun", "loqeiz"]
+    got = {r.doc_id: r for r in toxicity.toxicity(documents(spark, [f"you are {w} now" for w in wrong] + ["a kind 2nd note, e-mail me"]), model).collect()}
+    clean = got[len(wrong)]
+    assert clean.n_matches == 0 and all(got[k].n_misspelled == 1 and got[k].score > clean.score for k in range(len(wrong)))
+
+
+def test_clean_words_near_a_term_are_no_misspellings():
+    rng = random.Random(8)
+    filler = lambda: " ".join("".join(rng.choice("bdghklprs") + rng.choice("aeu") for _ in range(4)) for _ in range(8))
+    rows = [(f"{filler()} clown {filler()}", 1) for _ in range(60)] + [(f"{filler()} blown {filler()}", 0) for _ in range(40)] + [(filler(), 0) for _ in range(300)]
+    model = toxicity.fit(rows)
+    assert ("clown", False) in model.terms and "blown" in model.plain
+    assert model.lexicon().match("blown") is None and model.lexicon().match("klown")[1] == 2
+
+
 def test_toxicity_edges(spark):
     got = toxicity.toxicity(documents(spark, ODD).withColumn("score", F.lit(1)), toxicity.Model()).collect()
     assert len(got) == len(ODD) and all(0 < r.score < 0.3 for r in got)
