@@ -439,12 +439,74 @@ def test_main_text_cases():
         assert html_wrappers.main_text(source) == want
 
 
+def read_all(*sources):
+    wrapper = html_wrappers.Wrapper()
+    for source in sources:
+        wrapper.add(html_wrappers.Page(source))
+    return wrapper
+
+
 def test_alignment_makes_optional_and_repeated_groups():
-    a = html_wrappers.fold(html_wrappers.parse("<body><div><h1>t</h1><p>x</p><p>y</p></div></body>"))
-    b = html_wrappers.fold(html_wrappers.parse("<body><div><p>x</p><ul><li><a>l</a></li></ul></div></body>"))
-    div = html_wrappers.align(a, b)[3][0][3][0]
-    assert [(c[0], c[1], c[2]) for c in div[3]] == [("h1", 1, 0), ("p", 0, 1), ("ul", 1, 0)]
-    assert html_wrappers.align(a, a) == a
+    a, b = "<body><div><h1>t</h1><p>x</p><p>y</p></div></body>", "<body><div><p>x</p><ul><li><a>l</a></li></ul></div></body>"
+    assert read_all(a).expression() == "(body(div(h1(#) [p(#)]+)))"
+    assert read_all(a, b).expression() == "(body(div(h1(#)? [p(#)]+ ul(li(@))?)))"
+    swapped = "<body><div><ul><li><a>l</a></li></ul><p>x</p></div></body>"
+    assert read_all(a, b, swapped).expression() == "(body(div(h1(#)? [p(#)? ul(li(@))?]+)))"
+    one = read_all(a, a)
+    assert one.expression() == read_all(a).expression() == html_wrappers.Wrapper.loads(one.dumps()).expression()
+    parts = read_all(a, b)
+    parts.merge(read_all(swapped))
+    assert parts.expression() == read_all(a, b, swapped).expression() and html_wrappers.plan(parts) == html_wrappers.plan(read_all(swapped, b, a))
+
+
+def test_what_names_say_is_taken_as_a_whole():
+    article = '<article><h2 class="section-header">S</h2><div class="related-work">R</div><p class="share-price">P</p><math>m</math><div class="ad-box">no</div></article>'
+    assert html_wrappers.main_text(PAGE % article) == "S\nR\nP\nm"
+    assert html_wrappers.main_text("<p>one<hr>two</p><article></article>") == "one\ntwo"
+    assert html_wrappers.main_text("<article><header><h1>T</h1><p>by X</p></header><p>a</p><footer>f</footer></article>") == "T\nby X\na"
+    assert html_wrappers.main_text("<p>a<button>b</button> c<select><option>d</select><p title='x > y'>e") == "a c\ne"
+
+
+def test_deep_wide_and_broken_pages(spark):
+    deep = "<div>" * 10_000 + "deep" + "</div>" * 10_000
+    wide = "<body>" + "".join(f"<p>x{i}</p><ul><li>{i}</ul>" for i in range(20_000))
+    broken = "</div></p><article><p class='>a</p>" + "<a href=\"" * 2000
+    pages = spark.createDataFrame([(1, "http://h/1", deep), (2, "http://h/2", wide), (3, None, broken), (4, "http://h/4", None)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrappers.extract(pages, html_wrappers.wrappers(pages)).collect()}
+    assert got[1] == "deep" and len(got[2].split("\n")) == 40_000 and got[4] == ""
+    none = pages.limit(0)
+    assert html_wrappers.wrappers(none).count() == 0 and html_wrappers.extract(none, html_wrappers.wrappers(none)).count() == 0
+    assert html_wrappers.extract(pages, html_wrappers.wrappers(none)).count() == 4
+
+
+def test_wrappers_tell_template_from_data(spark):
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    rows, want = [], {}
+
+    def page(host, body, keep):
+        rows.append((len(rows), f"http://{host}/{len(rows)}", f"<html><head><title>t</title></head><body>{body}</body></html>"))
+        want[len(rows) - 1] = "\n".join(keep)
+
+    for k in range(12):
+        h, ps = prose(4), [prose(12) for _ in range(1 + k % 4)]
+        menu = "".join(f"<li><a href=x>{prose(1)}</a></li>" for _ in range(5))
+        notice, more = "<p>All rights are kept by the owner of this site.</p>", "<p>Read our daily letter!</p>" if k % 4 else ""
+        body = f"<h1>{h}</h1>" + more.join(f"<p>{p}</p>" for p in ps) + more + notice
+        page("plain.example", f"<div><ul>{menu}</ul></div><div><p>Site of all things</p></div><div>{body}</div>", [h, *ps])
+        page("table.example", f"<table><tr><td>x</td></tr></table><div class=q><h1>{h}</h1></div><section><p>{ps[0]}</p><p>Share it</p><p>{ps[-1]} z</p></section>", [h, ps[0], ps[-1] + " z"])
+        page("art.example", f"<article><h1>{h}</h1><p>Sign up now</p><h2>Summary</h2>{''.join(f'<p>{p}</p>' for p in ps)}</article><article class=comment><p>{prose(40)}</p></article>", [h, "Summary", *ps])
+        page("copies.example", "<div><h1>One</h1><p>the same on all pages</p><p>and this</p></div>", ["One", "the same on all pages", "and this"])
+        page("near.example", f"<div><h1>One</h1><p>the same on all pages of this host</p><p>and this too, word by word</p><p>but {prose(1)}</p></div>", None or [])
+        want.pop(len(rows) - 1)
+        page("widget.example", f"<div class=widget><h1>{h}</h1><p>{ps[0]}</p></div><div>.</div>", [h, ps[0]])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    rules = html_wrappers.wrappers(df.withColumn("rule", F.lit("clash")), buckets=3)
+    got = {r.page_id: r.text for r in html_wrappers.extract(df, rules).collect()}
+    assert {i: got[i] for i in want} == want
+    assert all(got[i].startswith("One\nthe same") for i, u, _ in rows if "near" in u)
+    again = {r.page_id: r.text for r in html_wrappers.extract(df, html_wrappers.wrappers(df.repartition(2), buckets=1)).collect()}
+    assert again == got
 
 
 def test_pages_equal_plain_extraction(spark, sf):
