@@ -1,7 +1,7 @@
 """Conflict-constrained best-fit packing of documents into bins of a fixed number of words.
 
-Documents are dealt to packing shards by a hash of their content and id, so a hot source and copies spread evenly; each
-shard is packed by itself in decreasing size.  Open bins are kept in order of residual room.  A bin carries two bitmaps:
+Documents are dealt to packing shards by a hash of their content and id (and, of rows that repeat both, by where they
+stand), so a hot source and copies spread evenly; each shard is packed by itself in decreasing size.  Open bins are kept in order of residual room.  A bin carries two bitmaps:
 one of the source slots it has given away (each source has SOURCE_SLOTS), one of the duplicate clusters in it.  A piece
 goes to the tightest bin that can take it: the search starts at the first bin with enough room and goes on to the
 successors until neither bitmap conflicts.  A document longer than a bin is cut into full pieces and a rest.
@@ -10,11 +10,13 @@ successors until neither bitmap conflicts.  A document longer than a bin is cut
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,24 +27,38 @@ from granary.session import small_batches
 CAPACITY = 4096
 SOURCE_SLOTS = 4
 SHARD = 2048
+#: Bins that may have moved since an equal piece was placed, for the search to go on from there.
+MOVES = 64
+#: Ids and clusters of which a task remembers how often it met them.
+HELD_IDS = 200_000
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each text, and its cluster: a hash of its lower-cased words in order."""
+    """Words of each text, its cluster, a hash of its lower-cased words in order, and a number that tells rows with equal ids and clusters apart."""
+    task = TaskContext.get().partitionId() << 32
+    met: Counter = Counter()
     for batch in batches:
         for part in slices(batch.column(2)):
             w = words(part)
             h, begin = shingle_hashes(word_hashes(part, w), w, 5)
             n = len(part)
             cluster = [xxhash.xxh3_64_intdigest(h[begin[i] : begin[i + 1]].tobytes()) - (1 << 63) for i in range(n)]
+            ids = batch.column(0).slice(part.first, n).to_pylist()
+            if len(met) > HELD_IDS:  # rows that repeat stand close or there are many: the rare ones forgotten share a shard
+                met.clear()
+            copies = []
+            for row in zip(ids, cluster):
+                copies.append(task + met[row] if met[row] else 0)
+                met[row] += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(part.first, n),
                     batch.column(1).slice(part.first, n),
                     pa.array(np.diff(w.of), pa.int64()),
                     pa.array(cluster, pa.int64()),
+                    pa.array(copies, pa.int64()),
                 ],
-                ["doc_id", "source", "n_words", "cluster"],
+                ["doc_id", "source", "n_words", "cluster", "copy"],
             )
 
 
@@ -56,6 +72,9 @@ def pack(sizes: list[int], sources: list, clusters: list[int], capacity: int, sl
     source_bit: dict = {}
     cluster_bit: dict = {}
     residuals: list[tuple[int, int]] = []  # (room, bin), ascending
+    moves: list[tuple[int, int]] = []  # every place that a bin got in that list
+    # where the search for equal pieces ended and how many moves there were: bins before can't take more of them
+    searched: dict[tuple, tuple[tuple[int, int], int]] = {}
     of_source: list[int] = []
     of_cluster: list[int] = []
     out = []
@@ -63,7 +82,11 @@ def pack(sizes: list[int], sources: list, clusters: list[int], capacity: int, sl
     for size, i, first in pieces:
         place = source_bit.setdefault(sources[i], slots * len(source_bit))
         mark = 1 << cluster_bit.setdefault(clusters[i], len(cluster_bit))
-        at = bisect_left(residuals, (size, -1))
+        alike = size, sources[i], clusters[i]
+        start, since = searched.get(alike, ((size, -1), len(moves)))
+        if len(moves) - since > MOVES or any(size <= key[0] and key < start and not of_cluster[key[1]] & mark for key in moves[since:]):
+            start = (size, -1)
+        at = bisect_left(residuals, start)
         while at < len(residuals):
             room, b = residuals[at]
             if of_source[b] >> place & every != every and not of_cluster[b] & mark:
@@ -78,6 +101,8 @@ def pack(sizes: list[int], sources: list, clusters: list[int], capacity: int, sl
         of_source[b] |= (taken + 1) << place  # slots fill from the lowest bit: 0, 1, 11, ...
         of_cluster[b] |= mark
         insort(residuals, (room - size, b))
+        moves.append((room - size, b))
+        searched[alike] = (room, b), len(moves)
         out.append((i, first, size, b))
     return out
 
@@ -100,8 +125,8 @@ def best_fit(
     shards = max(1, -(-docs.count() // shard))
     sized = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text")
-    ).mapInArrow(_measure, "doc_id long, source string, n_words long, cluster long")
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    ).mapInArrow(_measure, "doc_id long, source string, n_words long, cluster long, copy long")
+    dealt = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "copy"), F.lit(shards)))
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("source", "ascending"), ("cluster", "ascending")])

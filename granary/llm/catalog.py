@@ -41,7 +41,8 @@ def op4_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secret_scan.scan(table(spark, sf_dir, "documents"), secret_scan.train())
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(known=secret_scan.vocabulary(docs)))
     secret = F.filter("findings", lambda f: f.secret)
     return found.select(
         "doc_id",

@@ -25,8 +25,10 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from granary.llm import char_lm
+from granary.llm.columns import fresh, numbered
 from granary.llm.wordhash import slices
 from granary.session import forget, small_batches, written
 
@@ -147,6 +149,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     return Models(name, languages)
 
 
+ADDED = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("rejected", "boolean")]
+
+
 def predict(
     docs: DataFrame,
     trained: Models | None,
@@ -154,13 +159,27 @@ def predict(
     slack: float = SLACK,
     chance: float = CHANCE,
 ) -> DataFrame:
-    """``docs`` with four further columns: ``lang_pred, score, cross_entropy, rejected``; all others pass through unread."""
-    added = "lang_pred string, score double, cross_entropy double, rejected boolean"
+    """``docs`` with four further columns: ``lang_pred, score, cross_entropy, rejected``; all others pass through unread.
+
+    An added column whose name is taken, in whatever case, gets underscores behind it.
+    """
+    names = [name for name, _ in ADDED]
+    return _scored(docs, trained, text_col, slack, chance).toDF(*docs.columns, *fresh(docs.columns, names))
+
+
+def recognised(docs: DataFrame, trained: Models | None, text_col: str = "text", slack: float = SLACK, chance: float = CHANCE) -> DataFrame:
+    """The rows of ``docs`` that ``predict`` doesn't reject, with the columns of ``docs``, whatever their names."""
+    found = _scored(docs, trained, text_col, slack, chance)
+    return found.where("not rejected").select(*[f"c{k}" for k in range(len(docs.columns))]).toDF(*docs.columns)
+
+
+def _scored(docs: DataFrame, trained: Models | None, text_col: str, slack: float, chance: float, with_text: bool = True) -> DataFrame:
+    """Rows with columns ``c0``, ``c1``... for those of ``docs`` (the text only if asked for), and what is added."""
+    docs, name = numbered(docs)
+    text = name[text_col]
+    rest = docs if with_text else docs.drop(text)
     if trained is None:
-        return docs.select(
-            "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"),
-            F.lit(True).alias("rejected"),
-        )
+        return rest.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
     languages = [name for name, *_ in trained.languages]
     moment = np.array([own[3:] for own in trained.languages])
 
@@ -189,24 +208,23 @@ def predict(
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["lang_pred", "score", "cross_entropy", "rejected"]
+        names = [name for name, _ in ADDED]
         kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
         models = trained.opened()
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
-            for first, texts in _texts(batch.column(at)):
-                rest = [c.slice(first, len(texts)) for k, c in enumerate(batch.columns) if k != at]
+            for first, texts in _texts(batch.column(batch.schema.get_field_index(text))):
+                own = [c.slice(first, len(texts)) for k, c in zip(batch.schema.names, batch.columns) if k in passed]
                 new = [pa.array(x, k) for x, k in zip(score(models, texts), kinds)]
-                labels = [f.name for k, f in enumerate(batch.schema) if k != at]
-                yield pa.RecordBatch.from_arrays(rest + new, labels + names)
+                yield pa.RecordBatch.from_arrays(own + new, passed + names)
 
-    ids = [c for c in docs.columns]
-    kept = docs.schema.fields
-    clash = {"lang_pred", "score", "cross_entropy", "rejected", "_text"} & set(ids)
-    if clash:
-        raise ValueError(f"columns of these names are added: {sorted(clash)}")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.select("*", F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{fields}, {added}")
+    schema = StructType(rest.schema.fields.copy())
+    passed = rest.columns
+    for added, kind in ADDED:
+        schema = schema.add(added, kind)
+    if docs.schema[text].dataType != StringType():
+        docs = docs.withColumn("as_text", F.col(text).cast("string"))
+        text = "as_text"
+    return docs.mapInArrow(run, schema)
 
 
 def identify_languages(
@@ -227,5 +245,4 @@ def identify_languages(
     picked = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    # only the id and the fold pass through Python beside the text
-    return predict(picked.withColumnRenamed("text", "_body"), model, "_body").drop("_body")
+    return _scored(picked, model, "text", SLACK, CHANCE, with_text=False).toDF("doc_id", "held_out", *[name for name, _ in ADDED])

@@ -1,17 +1,22 @@
 """License notices: exact pigeonhole seeds find candidates, bounded-error regular expressions verify them and give spans.
 
 A text is folded to its words, lower-cased and joined by one space.  A notice of the catalogue may be met with up to
-``edits`` insertions, deletions or substitutions of characters; cut into ``edits + 1`` pieces, at least one piece must
-then stand unchanged in the text.  So every place of a piece is a seed; the window around it is handed to the ``regex``
-library's fuzzy matching, whose best match must keep within the edits and begin and end at word borders.
+``edits`` insertions, deletions or substitutions of characters, but its leading words of up to three letters must be right
+(else "bit license" would be a notice).  The rest, cut into ``edits + 1`` pieces, has at least one piece unchanged in the
+text.  So every place of a piece is a seed; the window that a match around it may take is handed to the ``regex`` library's
+fuzzy matching, whose best match must keep within the edits and begin and end at word borders; what is left of the window
+on either side is searched again.  Of matches that overlap, the one with fewest edits stays.  Windows are as long as a
+notice, so the work is in proportion to the seeds.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -60,16 +65,19 @@ class Notice:
     phrase: bytes
     label: str
     edits: int
+    head: int
     seeds: tuple[bytes, ...]
     pattern: regex.Pattern | None
 
 
 def notice(phrase: str, label: str, edits: int) -> Notice:
-    """Cut a phrase into ``edits + 1`` pieces of nearly equal length and compile its bounded-error pattern."""
-    text = phrase.encode()
-    cuts = [len(text) * k // (edits + 1) for k in range(edits + 2)]
-    pattern = regex.compile(rb"(?b)(?<![^ ])(?:" + re.escape(text) + rb"){e<=%d}(?![^ ])" % edits) if edits else None
-    return Notice(text, label, edits, tuple(text[a:b] for a, b in zip(cuts, cuts[1:])), pattern)
+    """Cut a phrase, after its short leading words, into ``edits + 1`` pieces of nearly equal length; compile its bounded-error pattern."""
+    words = phrase.split(" ")
+    short = next((k for k, w in enumerate(words) if len(w) > 3), 0) if edits else 0
+    head, tail = " ".join(["", *words[:short], ""]).encode(), " ".join(words[short:]).encode()
+    cuts = [len(tail) * k // (edits + 1) for k in range(edits + 2)]
+    pattern = regex.compile(b"(?b)" + re.escape(head) + rb"(?:" + re.escape(tail) + rb"){e<=%d} " % edits) if edits else None
+    return Notice(phrase.encode(), label, edits, len(head) - 1, tuple(tail[a:b] for a, b in zip(cuts, cuts[1:])), pattern)
 
 
 def _places(text: bytes, piece: bytes) -> Iterator[int]:
@@ -86,49 +94,53 @@ def fold(text: str | None) -> bytes:
 
 
 def fuzzy_places(folded: bytes, n: Notice) -> list[tuple[int, int, int]]:
-    """Start, end and edits of the notice's places in a folded text, best first where they overlap."""
+    """Start, end and edits of the notice's places in a folded text, in order, none overlapping (exact ones of itself may)."""
     if not n.edits:
         return [(p + 1, p + 1 + len(n.phrase), 0) for p in _places(folded, b" " + n.phrase + b" ")]
-    windows: list[list[int]] = []
-    begin = 0
+    windows: set[tuple[int, int]] = set()
+    begin = n.head + 1
     for seed in n.seeds:
         for p in _places(folded, seed):
-            low, high = p - begin - n.edits - 1, p - begin + len(n.phrase) + n.edits + 1
-            windows.append([max(0, low), min(len(folded), high)])
+            # the space before, the phrase, the space after
+            windows.add((max(0, p - begin - n.edits), min(len(folded), p - begin + len(n.phrase) + n.edits + 2)))
         begin += len(seed)
-    merged: list[list[int]] = []
-    for w in sorted(windows):
-        if merged and w[0] <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], w[1])
-        else:
-            merged.append(w)
-    found = []
-    for low, high in merged:
-        for m in n.pattern.finditer(folded, low, high):
-            start, end = m.start(), m.end()
-            start += folded[start:end][:1] == b" "
-            end -= folded[start:end][-1:] == b" "
-            if end > start:
-                found.append((start, end, sum(m.fuzzy_counts)))
-    return found
+    found: set[tuple[int, int, int]] = set()
+    least = len(n.phrase) - n.edits + 2
+    todo = list(windows)
+    while todo:
+        low, high = todo.pop()
+        if high - low < least or not (m := n.pattern.search(folded[low:high])):
+            continue
+        start, end = low + m.start() + 1, low + m.end() - 1
+        found.add((sum(m.fuzzy_counts), start, end))
+        todo += [(low, start), (end, high)]
+    kept: list[tuple[int, int, int]] = []
+    starts: list[int] = []
+    for edits, start, end in sorted(found):
+        at = bisect_left(starts, start)
+        if (at == len(kept) or kept[at][0] >= end) and (not at or kept[at - 1][1] <= start):
+            starts.insert(at, start)
+            kept.insert(at, (start, end, edits))
+    return kept
 
 
 def scan(text: str | None, base: list[Notice], more: list[Notice]) -> tuple[int, list[dict]]:
     """Number of words, and findings: exact places of the base phrases, then fuzzy places of the notices."""
     folded = fold(text)
-    findings = []
-    word = lambda at: folded.count(b" ", 0, at) - 1
+    placed = []
     for kind, notices in ((True, base), (False, more)):
         for n in notices:
             if kind or any(s in folded for s in n.seeds):
-                for start, end, edits in fuzzy_places(folded, n):
-                    findings.append(
-                        {
-                            "label": n.label, "notice": n.phrase.decode(), "first_word": word(start), "last_word": word(end - 1),
-                            "edits": edits, "exact": kind,
-                        }
-                    )
-    return max(0, folded.count(b" ") - 1), findings
+                placed += [(n, kind, *place) for place in fuzzy_places(folded, n)]
+    if not placed:
+        return max(0, folded.count(b" ") - 1), []
+    spaces = np.flatnonzero(np.frombuffer(folded, np.uint8) == 32)
+    first = np.searchsorted(spaces, [p[2] for p in placed]).tolist()  # spaces before
+    last = np.searchsorted(spaces, [p[3] - 1 for p in placed]).tolist()
+    return len(spaces) - 1, [
+        {"label": n.label, "notice": n.phrase.decode(), "first_word": a - 1, "last_word": b - 1, "edits": edits, "exact": kind}
+        for (n, kind, _, _, edits), a, b in zip(placed, first, last)
+    ]
 
 
 def license_findings(
@@ -141,8 +153,8 @@ def license_findings(
     """For each row ``doc_id, n_words, findings``: spans in words (from 0), label, edits, and whether it is an exact base place.
 
     Edge cases: null, empty and wordless texts have no words and no findings; very long texts are scanned whole; repeated
-    rows are scanned each; a null id is carried through; other columns are neither read nor returned.  Base places of one
-    phrase may overlap those of another and all count.
+    rows are scanned each; a null id is carried through; an empty table gives none; other columns, whatever their names, are
+    neither read nor returned.  Base places of one phrase may overlap those of another and all count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.columns import numbered
 from granary.llm.wordhash import mix, shingle_hashes, slices, word_hashes, words
 from granary.operators.components import connected_components
 from granary.session import few_files, forget, small_batches, written
@@ -47,7 +48,7 @@ SKETCH = 512
 BLOCK = 2048
 
 _U = np.uint64
-_DIGESTS = "doc_id long, fp binary, n_shingles int, signature binary"
+_DIGESTS = "doc_id long, row long, fp binary, n_shingles int, signature binary"
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -81,18 +82,18 @@ def mix_with(x: np.ndarray, j: int) -> np.ndarray:
 def _digest_batches(size: int, symbols: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for first, sets in _sets(batch.column(1), size):
+            for first, sets in _sets(batch.column(2), size):
                 rows = iter(_signatures(sets, symbols))
                 fps = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(sets)),
+                        batch.column(0).slice(first, len(sets)),
+                        batch.column(1).slice(first, len(sets)),
                         pa.array(fps, pa.binary()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    ["doc_id", "fp", "n_shingles", "signature"],
+                    ["doc_id", "row", "fp", "n_shingles", "signature"],
                 )
 
     return run
@@ -118,10 +119,11 @@ def _set_batches(size: int, wanted: bytes):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(wanted, np.uint8)
+        places = 8 * (len(wanted) - 1)
         for batch in batches:
             for _, sets in _sets(batch.column(0), size):
                 out = [(_name(xxhash.xxh3_128_digest(s.tobytes())), s) for s in sets if len(s)]
-                out = [(x, s) for x, s in out if bits[(p := x % _FILTER_BITS) >> 3] >> (p & 7) & 1]
+                out = [(x, s) for x, s in out if bits[(p := x % places) >> 3] >> (p & 7) & 1]
                 for k in range(0, len(out), 64):
                     some = out[k : k + 64]
                     yield pa.RecordBatch.from_arrays(
@@ -137,20 +139,21 @@ def _set_batches(size: int, wanted: bytes):
     return run
 
 
-#: A fixed 2 MB of bits; at any input size it is this large, and a full one only lets more sets through.
-_FILTER_BITS = 1 << 24
+#: Powers of two between which the filter's bits are: 128 KB to 16 MB.  A full one only lets more sets through.
+_LEAST_FILTER, _MOST_FILTER = 20, 27
 
 
 def _filter(nodes: DataFrame) -> bytes:
-    """Which remainders modulo 2^24 occur among the nodes: at most 513 rows of 4 KB reach the driver."""
+    """Which remainders modulo the filter's size occur among the nodes: 16 bits a node up to 16 MB, which come to the driver in 4 KB rows."""
+    power = min(_MOST_FILTER, max(_LEAST_FILTER, (16 * nodes.count()).bit_length()))
     rows = (
-        nodes.select(F.pmod("node", F.lit(_FILTER_BITS)).alias("p"))
+        nodes.select(F.pmod("node", F.lit(1 << power)).alias("p"))
         .select(F.bitmap_bucket_number("p").alias("k"), F.bitmap_bit_position("p").alias("at"))
         .groupBy("k")
         .agg(F.bitmap_construct_agg("at").alias("bits"))
         .collect()
     )
-    out = np.zeros(_FILTER_BITS // 8 + 1, np.uint8)
+    out = np.zeros((1 << power) // 8 + 1, np.uint8)
     for r in rows:  # bucket k > 0 holds places 32768 * (k - 1) + 1 and on, bit 0 first; place 0 is bit 0 of bucket 0
         block = np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little"))
         places = block + (r.k - 1) * 32768 + 1 if r.k > 0 else np.zeros(1, np.int64)
@@ -170,15 +173,7 @@ def _keys(classes: DataFrame, stays: list[tuple[int, ...]]) -> DataFrame:
         F.xxhash64(F.lit(place), F.concat(*[F.substring("signature", 2 * s + 1, 2) for s in stay]))
         for place, stay in enumerate(stays)
     ]
-    return classes.select("node", F.posexplode(F.array(*keys)).alias("place", "key"))
-
-
-def _near_in_size(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes allow the similarity."""
-    pairs = pairs.distinct()
-    for k in "ab":
-        pairs = pairs.join(classes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"n_{k}")), k)
-    return pairs.where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")).select("a", "b")
+    return classes.select("node", "n_shingles", F.posexplode(F.array(*keys)).alias("place", "key"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -201,15 +196,15 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(out, "labels")
 
 
-def _across(stays: list[tuple[int, ...]], length: int, threshold: int):
+def _across(stays: list[tuple[int, ...]], length: int, threshold: int, exact: bool):
     """Pairs of different components within one key (and two of its blocks) that may reach the similarity.
 
-    A pair counts in the first key that it shares only.  Left out are pairs whose signatures differ in more symbols than
-    sets of the similarity do by 4.5 standard deviations (four in a million such pairs),
-    and pairs whose sketches (whole sets, if small) differ by as much; the others are still to be confirmed.
+    A pair counts in the first key that it shares only.  Unless ``exact``, left out are pairs whose signatures differ in
+    more symbols than sets of the similarity do by 4.5 standard deviations (four in a million such pairs), and pairs whose
+    sketches (whole sets, if small) differ by as much; the others are still to be confirmed.
     """
     p = threshold / 100
-    most = int(length * (1 - p) + 4.5 * (length * p * (1 - p)) ** 0.5)
+    most = length if exact else int(length * (1 - p) + 4.5 * (length * p * (1 - p)) ** 0.5)
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         component, node = table["component"].to_numpy(), table["node"].to_numpy()
@@ -220,7 +215,7 @@ def _across(stays: list[tuple[int, ...]], length: int, threshold: int):
         sketch = [np.frombuffer(x, np.uint32) for x in table["sketch"].to_pylist()]
 
         def alike(i: int, j: int) -> bool:
-            if level[i] != level[j]:
+            if exact or level[i] != level[j]:
                 return True
             k = len(np.intersect1d(sketch[i], sketch[j], assume_unique=True))
             union = max(1, len(sketch[i]) + len(sketch[j]) - k)
@@ -258,21 +253,59 @@ def near_duplicates(
     errors: int = ERRORS,
     length: int = LENGTH,
     rounds: int = ROUNDS,
+    exact: bool = False,
 ) -> DataFrame:
     """For each document ``doc_id, n_shingles, component_id, kept, class_size``.
 
     ``component_id`` is the smallest id reachable over links of ``threshold`` percent; ``kept`` is whether that is the
-    document's own.  Other columns of ``docs`` are neither read nor returned, so their names can't clash.
+    document's own.  Other columns of ``docs`` are neither read nor returned, so their names can't clash.  Pairs that only
+    the last step meets are first thinned by estimates from their signatures; ``exact`` sends all of them to the full sets.
 
     Edge cases: a null, empty or blank text has the empty set and links with nothing (it keeps its own id).  Rows that
     repeat an id and a text get equal results; rows that repeat an id with other texts are separate documents.  A null id
     takes part as a text but never names a component unless nothing else is there: such a row's component is the
     smallest non-null id of its component, else null and kept.  An empty table gives an empty result.
     """
+    picked = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("row"), F.col(text_col).cast("string").alias("text")
+    )
+    found = _components(picked, shingle, threshold, symbols, chunk, errors, length, rounds, exact)
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_size")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, with the columns of ``docs``, whatever their names.
+
+    It is the row with the smallest id of the group (nulls last); of rows that share that id, the one whose text and other
+    columns have the smallest 64-bit hash; rows that are equal in all columns are one.  Rows whose texts have no words are
+    no group and all stay.  An empty table gives an empty result.  ``options`` are those of ``near_duplicates``.
+    """
+    defaults = {"shingle": SHINGLE, "threshold": THRESHOLD, "symbols": SYMBOLS, "chunk": CHUNK, "errors": ERRORS, "length": LENGTH, "rounds": ROUNDS, "exact": False}
+    rows, name = numbered(docs)
+    text = F.col(name[text_col]).cast("string")
+    rows = rows.withColumn("id", F.col(name[id_col]).cast("long")).withColumn("row", F.xxhash64(*[F.col(c).cast("string") for c in rows.columns]))
+    found = _components(rows.select(F.col("id").alias("doc_id"), "row", text.alias("text")), **(defaults | options))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    chosen = found.where("group is not null").groupBy("group").agg(first).select("first.doc_id", "first.row")
+    copies = found.where("group is not null").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("copies"))
+    chosen = chosen.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
+    chosen = chosen.join(copies, [F.col("doc_id").eqNullSafe(F.col("of")), F.col("row") == F.col("of_row")])
+    chosen = chosen.select("of", "of_row", (F.col("copies") > 1).alias("repeated"))
+    blank = found.where("group is null").select(F.col("doc_id").alias("of"), F.col("row").alias("of_row")).distinct().withColumn("repeated", F.lit(False))
+    kept = written(chosen.unionByName(blank), "kept")
+    same = [F.col("id").eqNullSafe(F.col("of")), F.col("row") == F.col("of_row")]
+    single = rows.join(kept.where("not repeated"), same, "left_semi")
+    several = rows.join(kept.where("repeated"), same, "left_semi").dropDuplicates(["id", "row"])
+    return single.unionByName(several).drop("id", "row").toDF(*docs.columns)
+
+
+def _components(
+    docs: DataFrame, shingle: int, threshold: int, symbols: int, chunk: int, errors: int, length: int, rounds: int, exact: bool
+) -> DataFrame:
+    """``near_duplicates`` of (doc_id, row, text), with ``row`` and ``group``, the name of the component (null for no words)."""
     small_batches(docs.sparkSession)
     few_files(docs.sparkSession)
     length, rounds = max(length, symbols), max(1, rounds)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     digests = written(docs.mapInArrow(_digest_batches(shingle, length), _DIGESTS), "digests")
     classes = written(
         digests.where("n_shingles > 0")
@@ -289,24 +322,25 @@ def near_duplicates(
     stays = _stays(symbols, chunk, errors)
     keys = _keys(classes, stays)
     met = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = written(keys.join(met, "key").select("key", "place", "node"), "shared")
+    shared = written(keys.join(met, "key").select("key", "place", "node", "n_shingles"), "shared")
     labels = written(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     wanted = _filter(labels)
     sets = docs.select("text").mapInArrow(_set_batches(shingle, wanted), "node long, items array<long>, level int, sketch binary")
     sets = written(sets.join(labels.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    links = []
 
     for turn in range(rounds):
         named = shared.join(labels, "node")
         order = F.xxhash64("key", F.lit(turn)) if turn else F.lit(0).cast("long")
-        turned = lambda c: F.col(c).bitwiseXOR(order)  # noqa: B023, E731
         kept = F.min("component").alias("low"), F.max("component").alias("high")
-        mixed = named.withColumn("turned", turned("node")).groupBy("key").agg(F.min("turned").alias("least"), *kept)
-        mixed = mixed.where("low <> high").select("key", turned("least").alias("leader"))
-        of_leader = labels.select(F.col("node").alias("leader"), F.col("component").alias("of_leader"))
-        pairs = named.join(mixed, "key").select("leader", "node", "component").distinct().join(of_leader, "leader")
-        pairs = pairs.where("component <> of_leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
-        links = _confirmed(_near_in_size(pairs, classes, threshold), sets, threshold)
-        labels = _merged(labels, links)
+        least = F.min(F.struct(F.col("node").bitwiseXOR(order).alias("turned"), "n_shingles", "node", "component")).alias("first")
+        mixed = named.groupBy("key").agg(least, *kept).where("low <> high")
+        mixed = mixed.select("key", F.col("first.node").alias("leader"), F.col("first.n_shingles").alias("n_leader"), F.col("first.component").alias("of_leader"))
+        near = 100 * F.least("n_leader", "n_shingles") >= threshold * F.greatest("n_leader", "n_shingles")
+        pairs = named.join(mixed, "key").where((F.col("component") != F.col("of_leader")) & near)
+        pairs = pairs.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+        links.append(_confirmed(pairs, sets, threshold))
+        labels = _merged(labels, links[-1])
 
     named = shared.join(labels, "node")
     mixed = named.groupBy("key").agg(
@@ -319,23 +353,26 @@ def near_duplicates(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("lower", F.least("block", "other"))
         .withColumn("upper", F.greatest("block", "other"))
-        .join(classes.select("node", "n_shingles", "signature"), "node")
+        .join(classes.select("node", "signature"), "node")
         .join(sets.select("node", "level", "sketch"), "node")
         .select("key", "place", "node", "component", "block", "lower", "upper", "n_shingles", "signature", "level", "sketch")
     )
-    rest = dealt.groupBy("key", "lower", "upper").applyInArrow(_across(stays, length, threshold), "a long, b long")
-    merged = _merged(labels, _confirmed(rest, sets, threshold))
+    rest = dealt.groupBy("key", "lower", "upper").applyInArrow(_across(stays, length, threshold, exact), "a long, b long")
+    links.append(_confirmed(rest, sets, threshold))
+    merged = _merged(labels, links[-1])
 
     linked = classes.select("fp", "node", "least_id", "class_size")
     linked = linked.join(merged.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = written(linked.join(names, "component").select("fp", "class_size", "component_id"), "of-class")
-    for done in (shared, sets, classes, labels, merged):
+    of_class = written(linked.join(names, "component").select("fp", "class_size", "component_id", F.col("component").alias("group")), "of-class")
+    for done in (shared, sets, classes, labels, merged, *links):
         forget(done)
-    out = digests.select("doc_id", "fp", "n_shingles").join(of_class, "fp", "left")
+    out = digests.select("doc_id", "row", "fp", "n_shingles").join(of_class, "fp", "left")
     component = F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select(
         "doc_id",
+        "row",
+        "group",
         F.col("n_shingles").cast("long").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),

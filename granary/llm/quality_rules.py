@@ -14,6 +14,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.columns import fresh, numbered
 from granary.session import written
 
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -139,26 +140,12 @@ def fit(counted: DataFrame, rules: dict[str, Column] | None = None) -> LabelMode
     return estimate([(tuple(r[k] for k in names), r["count"]) for r in rows], names)
 
 
-def quality(
-    docs: DataFrame, text_col: str = "text", rules: dict[str, Column] | None = None, least: float = LEAST, counted: DataFrame | None = None
-) -> DataFrame:
-    """``docs`` with ``stats``, ``votes`` (by rule), ``posterior``, ``base_failed`` and ``kept``.
-
-    ``base_failed``: fewer than 50 words, or over half of the words in repeated windows.  ``kept``: not that, and a
-    posterior of at least ``least``.
+ADDED = ["stats", "votes", "posterior", "base_failed", "kept"]
 
-    The statistics are written to the shared folder before they are used: they are needed twice, and an optimizer that
-    pushed them into the votes would evaluate the sorted windows once for every look at a neighbour.
 
-    Edge cases: a null, empty or blank text has no words and fails the base; repeated rows count and are returned each;
-    very long texts are counted whole; an empty table gives an empty result; a document on which all rules abstain has the
-    prior.  Columns of ``docs`` pass through; names that are added (and ``_w``, ``_s``, ``_p``, ``_l``) must be free.
-    """
-    clash = {"stats", "votes", "posterior", "base_failed", "kept", "_w", "_s", "_p", "_l"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns of these names are added: {sorted(clash)}")
+def _judged(counted: DataFrame, rules: dict[str, Column] | None, least: float) -> DataFrame:
+    """Counted rows with votes, posterior and verdict."""
     rules = rules or default_rules()
-    counted = written(statistics(docs, text_col), "quality") if counted is None else counted
     model = fit(counted, rules)
     failed = (F.col("stats.n_words") < 50) | (100 * F.col("stats.n_repeat_words") > 50 * F.col("stats.n_words"))
     odds = model.log_odds({k: F.col(f"votes.{k}") for k in rules})
@@ -170,8 +157,33 @@ def quality(
     )
 
 
+def quality(docs: DataFrame, text_col: str = "text", rules: dict[str, Column] | None = None, least: float = LEAST) -> DataFrame:
+    """``docs`` with ``stats``, ``votes`` (by rule), ``posterior``, ``base_failed`` and ``kept``.
+
+    ``base_failed``: fewer than 50 words, or over half of the words in repeated windows.  ``kept``: not that, and a
+    posterior of at least ``least``.
+
+    The statistics are written to the shared folder before they are used: they are needed twice, and an optimizer that
+    pushed them into the votes would evaluate the sorted windows once for every look at a neighbour.
+
+    Edge cases: a null, empty or blank text has no words and fails the base; repeated rows count and are returned each;
+    very long texts are counted whole; an empty table gives an empty result; a document on which all rules abstain has the
+    prior.  Columns of ``docs`` pass through whatever their names; an added column whose name is taken, in whatever case,
+    gets underscores behind it.
+    """
+    rows, name = numbered(docs)
+    counted = written(statistics(rows, name[text_col]), "quality")
+    return _judged(counted, rules, least).toDF(*docs.columns, *fresh(docs.columns, ADDED))
+
+
+def good(docs: DataFrame, text_col: str = "text", rules: dict[str, Column] | None = None, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with the columns of ``docs``, whatever their names."""
+    rows, name = numbered(docs)
+    counted = written(statistics(rows, name[text_col]), "quality")
+    return _judged(counted, rules, least).where("kept").select(*rows.columns).toDF(*docs.columns)
+
+
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document, without its text: id, statistics, votes, posterior and verdict; the statistics are made once."""
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    counted = written(statistics(picked).drop("text"), "quality")
-    return quality(picked, counted=counted)
+    return _judged(written(statistics(picked).drop("text"), "quality"), None, LEAST)

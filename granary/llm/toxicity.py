@@ -1,11 +1,14 @@
 """Toxicity: misspelling-tolerant lexicon matches in context.
 
 The lexicon is learned from labelled rows of the training fold: words, and stems (beginnings of words), that are far
-likelier in rows marked toxic.  Whole tokens are matched, with inner digits and symbols.  It is kept as a trie.  A Levenshtein automaton of at most one edit is intersected with that
+likelier in rows marked toxic.  Whole tokens are matched, with inner digits and symbols.  It is kept as a trie.  A
+Levenshtein automaton of at most one edit (a letter too many, missing or wrong, or two swapped) is intersected with that
 trie: a state is the set of (trie node, edits spent) pairs that a word read so far can be in.  States and steps are made
 once, when first met, and kept, so each distinct word of a text costs a few table steps, and words far from every term die
-after some letters.  Each match is weighed by the log-odds learned for its term and by its context: a match inside
-quotation marks or next to a word of reporting counts as quotation and gets a learned, usually smaller weight.
+after some letters.  Each match is weighed by the log-odds learned for its term and by its context: a match between an
+opening and a closing quotation mark, or next to a word of reporting, counts as quotation and gets a usually smaller weight.
+The weights of quoted and of misspelled matches are learned if at least LEAST_CONTEXT labelled rows hold only such matches;
+else they are the defaults of ``Model``.
 """
 
 from __future__ import annotations
@@ -25,8 +28,6 @@ from granary.session import small_batches
 
 #: Labelled rows that the lexicon and the weights are learned from, at most: those with the smallest md5 of their id.
 SAMPLE_ROWS = 10_000
-#: Terms kept, at most: those with the most evidence.
-MOST_TERMS = 2_000
 #: Letters from which a term may be matched with one edit, and lengths of stems tried.
 FUZZY_LETTERS = 5
 STEMS = (2, 3, 4, 5, 6, 7)
@@ -36,10 +37,10 @@ STEMS = (2, 3, 4, 5, 6, 7)
 LEAST_ROWS, LEAST_RATIO, LEAST_EVIDENCE, LEAST_STEM_EVIDENCE = 3, 12.0, 9.0, 14.0
 #: Share of other rows beyond which a stem, which stands for words never seen, isn't used.
 MOST_IMPURE = 0.02
-#: Rows of the sample from which the weights of contexts are learned, at most.
-CONTEXT_ROWS = 4_000
-#: Words on either side that make a match's context.
-CONTEXT = 6
+#: Rows from which the weight of a context is learned, at least.
+LEAST_CONTEXT = 5
+#: Words on either side that make a match's context, and characters in which they are looked for.
+CONTEXT, CONTEXT_CHARS = 6, 72
 
 #: Marks of quotation and words of reporting.
 QUOTES = "\"“”«»‘’„`"
@@ -51,7 +52,9 @@ REPORTING = frozenset(
 _WORD = re.compile(r"[^\W\d_]+")
 #: Letters and digits of a token, and what one symbol joins.
 _RUN = re.compile(r"[^\W_]+")
-_SHAPE = re.compile(r"[^\W\d_]+|[" + QUOTES + "]")
+#: An opening mark stands before a word and after none, a closing one the other way; an apostrophe inside a word is neither.
+_MARK = re.compile(r"(?P<open>(?<!\w)[" + QUOTES + r"](?=\w))|(?P<close>(?<=\S)[" + QUOTES + r"](?!\w))")
+_TOKEN = re.compile(r"\S+")
 
 
 class Lexicon:
@@ -109,19 +112,28 @@ class Lexicon:
         pairs, (stem, near) = self.states[state]
         reached: set[tuple[int, int]] = set()
         for node, edits in pairs:
+            if isinstance(edits, str):  # the first of two swapped letters is to come
+                if edits == letter:
+                    reached.add((node, 1))
+                continue
             n = self.next[node].get(letter)
             if n is not None and (not edits or n in self.fuzzy):
                 reached.add((n, edits))
             if not edits and node in self.fuzzy and (node or self.loose):  # else the first letter must be right
                 reached.add((node, 1))
-                reached.update((m, 1) for m in self.next[node].values() if m in self.fuzzy)
+                for other, m in self.next[node].items():
+                    if m in self.fuzzy:
+                        reached.add((m, 1))
+                        swapped = self.next[m].get(letter)
+                        if swapped in self.fuzzy and other != letter:
+                            reached.add((swapped, other))
         if stem < 0:
             stem = max((self.stem[n] for n, e in reached if not e and n in self.stem), default=-1)
         pairs = self._closed(reached)
         if near < 0:
-            near = max((self.stem[n] for n, e in pairs if e and n in self.near_stems), default=-1)
+            near = max((self.stem[n] for n, e in pairs if e == 1 and n in self.near_stems), default=-1)
         exact = {n for n, e in pairs if not e}
-        return self._number(frozenset(p for p in pairs if not p[1] or p[0] not in exact), (stem, near))
+        return self._number(frozenset(p for p in pairs if p[1] != 1 or p[0] not in exact), (stem, near))
 
     def match(self, word: str) -> tuple[int, int] | None:
         """Number of the term that a lower-case word is, begins with, or is one edit from; and 0, 1 or 2 for these three."""
@@ -138,7 +150,7 @@ class Lexicon:
         pairs, (stem, near) = self.states[state]
         best = None
         for node, edits in pairs:
-            k = self.whole.get(node)
+            k = None if isinstance(edits, str) else self.whole.get(node)
             if k is not None and (best is None or (2 * edits, -self.weights[k]) < (best[1], -self.weights[best[0]])):
                 best = (k, 2 * edits)
         if best and not best[1]:
@@ -189,31 +201,58 @@ def matches(text: str, lexicon: Lexicon, known: dict[str, list[str] | None], ter
     ``known`` keeps the matching words of every token met so far, ``terms`` the terms of those words.
     """
     low = text.lower()
-    hits: set[str] = set()
+    hit = False
     for token in set(low.split()):
-        if token in known:
-            own = known[token]
-        else:
-            own = None
+        if token not in known:
+            own = []
             for word in spellings(token):
                 if (m := lexicon.match(word)) is not None:
                     terms[word] = m
-                    own = [*(own or ()), word]
-            known[token] = own
-        if own:
-            hits.update(own)
-    if not hits:
+                    own.append(word)
+            known[token] = own or None
+        hit = hit or known[token] is not None
+    if not hit:
         return []
     found = []
-    for m in re.finditer(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, sorted(hits, key=len, reverse=True))) + r")(?![^\W\d_])", low):
-        before = _SHAPE.findall(low[max(0, m.start() - 12 * CONTEXT) : m.start()])[-CONTEXT:]
-        after = _SHAPE.findall(low[m.end() : m.end() + 12 * CONTEXT])[:CONTEXT]
-        marked = any(t in QUOTES for t in before[-3:]) and any(t in QUOTES for t in after[:3])
-        quoted = marked or any(t in REPORTING for t in before[-3:] + after[:2])
-        found.append((*terms[m.group()], quoted))
+    for token in _TOKEN.finditer(low):
+        own = known.get(token[0])
+        if not own:
+            continue
+        end = 0
+        for start, length, word in sorted({(at, -len(w), w) for w in own for at in _standing(token[0], w)}):
+            if start >= end:  # the first and longest of those that overlap
+                end = start - length
+                found.append((*terms[word], _quoted(low, token.start() + start, token.start() + end)))
     return found
 
 
+def _standing(token: str, word: str) -> Iterator[int]:
+    """Where a word stands in a token, with no letter beside it."""
+    at = token.find(word)
+    while at >= 0:
+        end = at + len(word)
+        if not (at and token[at - 1].isalpha()) and not token[end : end + 1].isalpha():
+            yield at
+        at = token.find(word, at + 1)
+
+
+def _quoted(low: str, start: int, end: int) -> bool:
+    """Whether the nearest marks within the context enclose a match, or a word of reporting stands near."""
+    near = _WORD.findall(low[max(0, start - CONTEXT_CHARS) : start])[-3:] + _WORD.findall(low[end : end + CONTEXT_CHARS])[:2]
+    return any(t in REPORTING for t in near) or _nearest_mark(low, start, -1) and _nearest_mark(low, end, 1)
+
+
+def _nearest_mark(low: str, at: int, step: int) -> bool:
+    """Whether going back (or on) from a match, within CONTEXT words, an opening (closing) quotation mark comes first."""
+    if step < 0:
+        part = low[max(0, at - CONTEXT_CHARS - 1) : at + 1]
+        marks = [m for m in _MARK.finditer(part) if m.end() < len(part)]
+        return bool(marks) and marks[-1][0] == marks[-1]["open"] and len(part[marks[-1].end() : -1].split()) <= CONTEXT
+    part = low[at - 1 : at + CONTEXT_CHARS + 1]
+    m = _MARK.search(part, 1)
+    return bool(m) and m[0] == m["close"] and len(part[1 : m.start()].split()) <= CONTEXT
+
+
 def likelihood(found: list[tuple[int, int, bool]], weights: list[float], model: Model, short: frozenset[int] | set[int] = frozenset()) -> float:
     """Probability of label 1: each term counts once, by its strongest context."""
     best: dict[int, float] = {}
@@ -238,10 +277,10 @@ def _one_of_each_family(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return list(kept.values())
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """Learn terms and weights from texts and labels.
+def fit(rows: list[tuple[str, int]], most_terms: int | None = None) -> Model:
+    """Learn terms and weights from texts and labels; at most ``most_terms`` terms, the purest, if that is given.
 
-    Copies count once.  A term's log-odds are those of a row that holds it, smoothed by half a row.  Stems that add nothing to a chosen word or
+    Copies count once, by the first.  A term's log-odds are those of a row that holds it, smoothed by half a row.  Stems that add nothing to a chosen word or
     shorter stem are left out.  The weights of quoted and of misspelled matches come from how often rows with only such
     matches are toxic.
     """
@@ -286,7 +325,7 @@ def fit(rows: list[tuple[str, int]]) -> Model:
                 longer = [u for u in score if u[1] and u[0].startswith(letters) and seen[u] >= 0.95 * seen[t]]
                 t = max(longer, key=lambda u: (len(u[0]), u[0]))
             chosen[t] = score[t]
-        if len(chosen) >= MOST_TERMS:
+        if len(chosen) == most_terms:
             break
     model = Model(chosen)
     lexicon, known, terms = model.lexicon(), {}, {}
@@ -299,7 +338,10 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     model.plain = frozenset(w for w, (c, p) in near.items() if c and (p + 0.5) / toxic < LEAST_RATIO * (c + 0.5) / clean)
     lexicon = model.lexicon()
     none, groups = [0, 0], {"quoted": [0, 0], "misspelled": [0, 0], "short": [0, 0], "plain": [0, 0]}
-    for text, y in rows[:CONTEXT_ROWS]:
+    for text, y in rows:
+        if len(known) > 100_000:
+            known.clear()
+            terms.clear()
         found = matches(text or "", lexicon, known, terms)
         if not found:
             none[bool(y)] += 1
@@ -312,19 +354,23 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     odds = lambda g: log((g[1] + 0.5) / (g[0] + 0.5))
     model.base = odds(none)
     gain = max(0.1, odds(groups["plain"]) - model.base)
-    if sum(groups["quoted"]) >= 5:
+    if sum(groups["quoted"]) >= LEAST_CONTEXT:
         model.quoted = max(0.0, min(1.0, (odds(groups["quoted"]) - model.base) / gain))
-    if sum(groups["misspelled"]) >= 5:
+    if sum(groups["misspelled"]) >= LEAST_CONTEXT:
         model.misspelled = max(0.0, min(1.0, (odds(groups["misspelled"]) - model.base) / gain))
-    if sum(groups["short"]) >= 5:
+    if sum(groups["short"]) >= LEAST_CONTEXT:
         model.short = max(0.0, min(1.0, (odds(groups["short"]) - model.base) / gain))
     return model
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS
-) -> Model:
-    """Fit on at most ``rows`` labelled rows: those whose ids have the smallest md5, whichever their labels."""
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS,
+    most_terms: int | None = None,
+) -> Model:
+    """Fit on at most ``rows`` labelled ids: those with the smallest md5, whichever their labels, in that order.
+
+    An id that is labelled twice has the greater label.  Without any row of either label the model knows no terms.
+    """
     order = F.md5(F.col("id").cast("string"))
     picked = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -332,15 +378,16 @@ def train(
         .groupBy("id").agg(F.max("y").alias("y")).orderBy(order, "id").limit(rows)
     )
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(picked), "id")
-    found = joined.select("text", "y").toArrow()
-    return fit(list(zip(found["text"].to_pylist(), found["y"].to_pylist())))
+    found = joined.select(order.alias("k"), "text", "y").toArrow().sort_by([("k", "ascending"), ("text", "ascending")])
+    return fit(list(zip(found["text"].to_pylist(), found["y"].to_pylist())), most_terms)
 
 
 def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row ``doc_id, score, n_matches, n_quoted, n_misspelled``; a score sees the text alone.
 
     Edge cases: null, empty and wordless texts have no match and get the score of a row without one.  Repeated rows are
-    scored each, a null id is carried through, very long texts are read whole, other columns are neither read nor returned.
+    scored each, a null id is carried through, very long texts are read whole, an empty table gives none, other columns,
+    whatever their names, are neither read nor returned.  A word as near to several terms counts for the heaviest.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
