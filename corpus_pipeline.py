@@ -1,8 +1,9 @@
 """The corpus pipeline: language ID, quality rules, near-dedup, secret redaction, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns
-of ``documents``.  Empty tables pass through every stage; null and empty texts are rejected by the first; rows that repeat
-an id and a text become one in the third; further columns of ``docs`` pass through up to the last stage.
+of ``documents``.  Empty tables pass through every stage; null and empty texts are rejected by the first; of rows that repeat
+an id, the third keeps one of each group of near texts; further columns of ``docs``, whatever their names, pass through up to
+the last stage.
 """
 
 from __future__ import annotations
@@ -20,24 +21,22 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     model = language_id.train(docs.where(~F.coalesce(held, F.lit(True))))
-    return language_id.predict(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    return language_id.recognised(docs, model)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior probability of being good is high enough."""
-    return quality_rules.quality(docs).where("kept").select(*docs.columns)
+    return quality_rules.good(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id.  Rows without an id stay."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """One document of each group of near-duplicates: the one with the smallest id, then the smallest hash of its columns."""
+    return minhash_dedup.one_of_each(docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
-    return secret_scan.redact(docs, secret_scan.train())
+    return secret_scan.redact(docs, secret_scan.train(known=secret_scan.vocabulary(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
