@@ -233,24 +233,52 @@ def test_licences_of_long_texts_and_edges(spark):
 # -- 3 search ------------------------------------------------------------------------------------------------------------
 
 
-def test_search_equals_brute_force(spark):
+def brute_search(rows, k):
+    """Rows (id, vector) that take part, each with its floors; for each query its k best rows of other ids."""
+    part = [(i, np.floor(256 * np.array(x, np.float64)).astype(int).tolist()) for i, x in rows if i is not None and x is not None and all(y is not None and np.isfinite(y) for y in x)]
+    out = []
+    for i, q in {(i, tuple(q)) for i, q in part if i % 50 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in part if j != i)[:k]
+        out += [(i, n, j, -s) for n, (s, j) in enumerate(scored, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("pilot", [0, 7, 1000])
+def test_search_equals_brute_force(spark, pilot):
     rng = np.random.default_rng(3)
     v = rng.normal(0, 0.1, (300, 16)).astype(np.float32)
     v[10] = v[20] = v[30]
-    rows = [(i, x.tolist(), "e") for i, x in enumerate(v)] + [(1000, None, ""), (1050, [1.0, None], ""), (1100, [float("nan")] * 16, ""), (None, [1.0] * 16, ""), (1150, [0.5], "")]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, ids string")
-    got = maxscore_search.search(df, df.where("vec_id % 50 = 0"), 5, shard=64, block=4).collect()
-    q = {i: np.floor(256 * np.array(x, np.float64)).astype(int).tolist() for i, x, _ in rows if i is not None and x and None not in x and x[0] == x[0]}
-    want = []
-    for i in q:
-        if i % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:5]
-            want += [(i, k, j, -s) for k, (s, j) in enumerate(scored, 1)]
-    assert sorted(map(tuple, got)) == sorted(want)
-    few = df.where("vec_id < 2")
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 16), (None, [1.0] * 16), (1150, [0.5]), (1200, [])]
+    rows += [(1, v[5].tolist()), (1, v[1].tolist()), (2, v[2].tolist()), (50, v[7].tolist()), (100, v[100].tolist()), (77, [float("inf")])] + [(3, v[3].tolist())] * 30
+    df = spark.createDataFrame([(i, x, "") for i, x in rows], "vec_id long, embedding array<float>, ids string").withColumn("Part", F.lit(1)).withColumn("mark", F.lit("x"))
+    got = maxscore_search.search(df, df.where("vec_id % 50 = 0"), 5, shard=64, block=4, pilot=pilot).collect()
+    assert sorted(map(tuple, got)) == brute_search(rows, 5)
+    few = df.where("vec_id in (0, 4)")
     assert maxscore_search.search(few, few).count() == 2 and maxscore_search.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_search_of_huge_components_is_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(0, 1, 4) * 2.0 ** (40 if i % 3 else 21)).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = maxscore_search.search(df, df.where("vec_id % 50 = 0"), 5, shard=16).collect()
+    hold = lambda x: max(-(2**63) + 1, min(2**63 - 1, x))
+    assert {(r.query_id, r.rank, r.score) for r in got} == {(i, n, hold(s)) for i, n, _, s in brute_search([(i, [float(y) for y in x]) for i, x in rows], 5)}
+
+
+def test_essential_terms_shrink_and_lose_nothing():
+    rng = np.random.default_rng(5)
+    v = (rng.normal(0, 1, (3000, 12)) * 2.0 ** -np.arange(12) * 200).astype(np.int64)
+    ids = rng.permutation(3000)
+    every = maxscore_search.best_in_shard(v[:40], ids[:40], v, ids, 4, chunk=100)
+    least = np.array([every[1][every[0] == q].min() for q in range(40)])
+    again = maxscore_search.best_in_shard(v[:40], ids[:40], v, ids, 4, least, chunk=777)
+    for q in range(40):
+        scores = sorted(((-int(v[q] @ x), int(i)) for x, i in zip(v, ids) if i != ids[q]))[:4]
+        for found in (every, again):
+            assert [(-int(s), int(i)) for n, s, i in zip(*found) if n == q] == scores
+
+
 # -- 4 packing -----------------------------------------------------------------------------------------------------------
 
 
