@@ -6,9 +6,10 @@ and Spark adds the counts up.  Every letter of any script is its own symbol, and
 task fits one language, the driver passes the packed models on to one file in pieces, every node gets a copy of the file,
 and all Python workers of a node map that copy into memory.  One language's grams must fit the memory of a task.
 
-Rejection is calibrated on the same counts: they give, exactly and without another pass, the mean and deviation of a
-language's log-probabilities over its own training text.  A text is rejected if its best cross-entropy lies more than
-``SLACK`` deviations, and ``CHANCE`` standard errors at its length, above that language's mean.
+Rejection is calibrated.  The counts give, exactly, the mean and deviation of a language's log-probabilities over its
+training text; a text's excess is how many deviations its best cross-entropy lies above that mean, less CHANCE standard
+errors at its length.  One in HELD training texts of every language with LEAST_HELD of them is held back from the counts;
+a text is rejected if its excess passes the QUANTILE of the held-back texts of its language, and MARGIN.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ from granary.llm.columns import fresh, numbered
 from granary.llm.wordhash import slices
 from granary.session import forget, small_batches, written
 
-#: Deviations by which a text's cross-entropy may exceed the mean of its language, and standard errors at its length.
-SLACK, CHANCE = 1.5, 6.0
+#: Standard errors by which a text's cross-entropy may exceed the mean of its language at its length, and deviations beyond, if not calibrated.
+CHANCE, SLACK = 6.0, 1.5
+#: Calibration: one in so many training texts, of languages with so many; the quantile of their excess, and deviations beyond it.
+HELD, LEAST_HELD, QUANTILE, MARGIN = 20, 400, 0.95, 0.75
 #: Bytes of a packed model that go through the driver at a time, and gram counts that a counting task holds, about.
 PIECE, HELD_GRAMS = 8 << 20, 2_000_000
 UNKNOWN = "und"
@@ -108,23 +111,25 @@ def _fit(piece: int):
 
 @dataclass
 class Models:
-    """A file on every node with the packed models, and name, first byte, array lengths, mean and deviation of each language."""
+    """A file on every node with the packed models; name, first byte, array lengths, mean, deviation and greatest excess of each language."""
 
     file: str
-    languages: list[tuple[str, int, list[int], float, float]]
+    languages: list[tuple[str, int, list[int], float, float, float]]
 
     def opened(self) -> list[char_lm.Language]:
         data = np.memmap(SparkFiles.get(self.file), np.uint8, "r")
-        return [char_lm.unpack(lengths, data[first:], char_lm.POINT_BITS, _symbols()) for _, first, lengths, _, _ in self.languages]
+        return [char_lm.unpack(lengths, data[first:], char_lm.POINT_BITS, _symbols()) for _, first, lengths, *_ in self.languages]
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Models | None:
-    """Models of all languages of ``docs``, with mean and deviation of each language's log-probabilities."""
+    """Models of all languages of ``docs`` with their limits of rejection; None if there is no labelled text."""
     spark = docs.sparkSession
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where(
         "lang is not null and text is not null"
     )
-    counts = rows.mapInArrow(_count_grams(char_lm.ORDER), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    many = sorted(r.lang for r in rows.groupBy("lang").count().where(F.col("count") >= LEAST_HELD).collect())
+    back = F.col("lang").isin(many) & (F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0) if many else F.lit(False)
+    counts = rows.where(~back).mapInArrow(_count_grams(char_lm.ORDER), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     fitted = counts.groupBy("lang").applyInArrow(
         _fit(PIECE), "lang string, piece long, data binary, lengths array<long>, mean double, deviation double"
     )
@@ -132,7 +137,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     first, languages, at = {}, [], 0
     for r in fitted.select("lang", "piece", F.length("data").alias("n"), "lengths", "mean", "deviation").orderBy("lang", "piece").collect():
         if r.piece == 0:
-            languages.append((r.lang, at, r.lengths, r.mean, r.deviation))
+            languages.append((r.lang, at, r.lengths, r.mean, r.deviation, SLACK))
         first[r.lang, r.piece] = at
         at += r.n
     if not languages:
@@ -146,17 +151,23 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             f.write(r.data)
     forget(fitted)
     spark.sparkContext.addFile(f"{folder}/{name}")
-    return Models(name, languages)
+    trained = Models(name, languages)
+    if many:
+        held = _scored(rows.where(back), trained, "text", None, CHANCE, with_text=False).where("c0 = lang_pred")
+        found = held.groupBy("c0").agg(F.percentile_approx("excess", QUANTILE, 10_000).alias("excess")).collect()
+        limits = {r.c0: r.excess + MARGIN for r in found}
+        trained = Models(name, [(*own[:5], limits.get(own[0], SLACK)) for own in languages])
+    return trained
 
 
-ADDED = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("rejected", "boolean")]
+ADDED = [("lang_pred", "string"), ("score", "double"), ("cross_entropy", "double"), ("excess", "double"), ("rejected", "boolean")]
 
 
 def predict(
     docs: DataFrame,
     trained: Models | None,
     text_col: str = "text",
-    slack: float = SLACK,
+    slack: float | None = None,
     chance: float = CHANCE,
 ) -> DataFrame:
     """``docs`` with four further columns: ``lang_pred, score, cross_entropy, rejected``; all others pass through unread.
@@ -167,21 +178,21 @@ def predict(
     return _scored(docs, trained, text_col, slack, chance).toDF(*docs.columns, *fresh(docs.columns, names))
 
 
-def recognised(docs: DataFrame, trained: Models | None, text_col: str = "text", slack: float = SLACK, chance: float = CHANCE) -> DataFrame:
+def recognised(docs: DataFrame, trained: Models | None, text_col: str = "text", slack: float | None = None, chance: float = CHANCE) -> DataFrame:
     """The rows of ``docs`` that ``predict`` doesn't reject, with the columns of ``docs``, whatever their names."""
     found = _scored(docs, trained, text_col, slack, chance)
     return found.where("not rejected").select(*[f"c{k}" for k in range(len(docs.columns))]).toDF(*docs.columns)
 
 
-def _scored(docs: DataFrame, trained: Models | None, text_col: str, slack: float, chance: float, with_text: bool = True) -> DataFrame:
+def _scored(docs: DataFrame, trained: Models | None, text_col: str, slack: float | None, chance: float, with_text: bool = True) -> DataFrame:
     """Rows with columns ``c0``, ``c1``... for those of ``docs`` (the text only if asked for), and what is added."""
     docs, name = numbered(docs)
     text = name[text_col]
     rest = docs if with_text else docs.drop(text)
     if trained is None:
-        return rest.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(True).alias("rejected"))
+        return rest.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("cross_entropy"), F.lit(None).cast("double").alias("excess"), F.lit(True).alias("rejected"))
     languages = [name for name, *_ in trained.languages]
-    moment = np.array([own[3:] for own in trained.languages])
+    limits = np.array([own[3:] for own in trained.languages])
 
     def score(models: list[char_lm.Language], texts: list[str]) -> tuple[list, ...]:
         s = char_lm.symbols(texts, char_lm.point_table())
@@ -197,19 +208,21 @@ def _scored(docs: DataFrame, trained: Models | None, text_col: str, slack: float
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(best)), best]
         odds = np.exp(-(entropy - low[:, None]) * np.minimum(length, 40)[:, None])
-        mean, deviation = moment[best].T
-        bad = low > mean + deviation * (slack + chance / np.sqrt(np.maximum(length, 1)))
+        mean, deviation, own = limits[best].T
+        excess = (low - mean) / deviation - chance / np.sqrt(np.maximum(length, 1))
+        bad = excess > (own if slack is None else slack)
         known = letters > 0
         return (
             [languages[b] if k else UNKNOWN for b, k in zip(best, known)],
             np.where(known, 1 / odds.sum(axis=1), 0.0).tolist(),
             [float(x) if k else None for x, k in zip(low, known)],
+            [float(x) if k else None for x, k in zip(excess, known)],
             (bad | ~known).tolist(),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [name for name, _ in ADDED]
-        kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
+        kinds = [pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
         models = trained.opened()
         for batch in batches:
             for first, texts in _texts(batch.column(batch.schema.get_field_index(text))):
@@ -245,4 +258,4 @@ def identify_languages(
     picked = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    return _scored(picked, model, "text", SLACK, CHANCE, with_text=False).toDF("doc_id", "held_out", *[name for name, _ in ADDED])
+    return _scored(picked, model, "text", None, CHANCE, with_text=False).toDF("doc_id", "held_out", *[name for name, _ in ADDED])

@@ -796,7 +796,7 @@ def test_language_edges(spark):
     odd = docs.withColumn("Score", F.lit(1)).withColumn("_text", F.lit(2)).withColumn("rejected", F.lit("x"))
     for trained in (language_id.train(docs), None):
         got = language_id.predict(odd, trained)
-        assert got.columns == [*odd.columns, "lang_pred", "score_", "cross_entropy", "rejected_"] and got.where("Score = 1 and rejected = 'x'").count() == odd.count()
+        assert got.columns == [*odd.columns, "lang_pred", "score_", "cross_entropy", "excess", "rejected_"] and got.where("Score = 1 and rejected = 'x'").count() == odd.count()
         assert language_id.recognised(odd, trained).columns == odd.columns and language_id.recognised(odd, trained).count() == got.where("not rejected_").count()
 
 
@@ -812,6 +812,56 @@ def test_scripts_beside_many_letters(spark):
     assert all(got[i].lang_pred == name for i, _, name in rows) and all(got[i].rejected for i, _, _ in unseen)
 
 
+def test_unseen_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    for unseen in ("en", "es"):
+        trained = language_id.train(docs.where(F.col("lang") != unseen))
+        shares = language_id.predict(docs, trained).groupBy((F.col("lang") == unseen).alias("unseen")).agg(F.avg(F.col("rejected").cast("int"))).collect()
+        got = dict(map(tuple, shares))
+        assert got[True] > 0.9 and got[False] < 0.005 and all(limit != language_id.SLACK for *_, limit in trained.languages)
+
+
+def brute_cross_entropy(text, texts, order, size):
+    """Interpolated Kneser-Ney by its formula, in dictionaries, over code points and spaces."""
+    def read(t):
+        return re.sub(r"[^\W\d_]+|.", lambda m: m[0] if m[0].isalpha() else " ", t.lower(), flags=re.S)
+
+    runs = [re.sub(" +", " ", read(t)) for t in texts]
+    own = " " * (order - 1) + re.sub(" +", " ", read(text))
+    counts = [Counter() for _ in range(order + 1)]
+    for r in runs:
+        r = " " * (order - 1) + r
+        counts[order].update(r[k : k + order] for k in range(len(r) - order + 1))
+    for n in range(order - 1, 0, -1):
+        counts[n].update(g[1:] for g in counts[n + 1])
+    discount = [0.0]
+    for n in range(1, order + 1):
+        one, two = (sum(c == k for c in counts[n].values()) for k in (1, 2))
+        discount.append(min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5)
+
+    def p(g):
+        if not g:
+            return 1 / size
+        follow = [c for h, c in counts[len(g)].items() if h[:-1] == g[:-1]]
+        if not follow:
+            return p(g[1:])
+        d = discount[len(g)]
+        return max(counts[len(g)][g] - d, 0) / sum(follow) + d * len(follow) / sum(follow) * p(g[1:])
+
+    steps = [np.log(p(own[k : k + order])) for k in range(len(own) - order + 1)]
+    return -sum(steps) / len(steps)
+
+
+def test_cross_entropy_equals_brute_force(spark):
+    texts = {"en": ["the cat sat on the mat", "and the dog ran!"], "de": ["der Hund lief, die Katze saß", "auf der Matte"]}
+    rows = [(k, t, name) for k, (name, own) in enumerate(texts.items()) for t in own]
+    docs = spark.createDataFrame(rows + [(9, "ein cat läuft on dem Mat 3x", None)], "doc_id long, text string, lang string")
+    size = 1 + sum(chr(p).isalpha() for p in range(0x110000))
+    for r in language_id.predict(docs, language_id.train(docs)).collect():
+        by = {name: brute_cross_entropy(r.text, own, char_lm.ORDER, size) for name, own in texts.items()}
+        assert r.lang_pred == min(by, key=by.get) and r.cross_entropy == pytest.approx(min(by.values()), rel=1e-5)
+
+
 def test_many_grams_keep_the_order(spark, monkeypatch):
     monkeypatch.setattr(language_id, "MOST_GRAMS", 20, raising=False)
     monkeypatch.setattr(language_id, "PIECE", 100, raising=False)
