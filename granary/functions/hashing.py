@@ -31,10 +31,15 @@ def bits_of_hex(text: Column) -> Column:
 
 
 def coarse_bits(values: Column) -> Column:
-    """P21, last step: 64 coarse components to bits, those above the median of the last 63; the first bit is 0."""
+    """P21, last step: 64 coarse components to bits, those above the median of the last 63; the first bit is 0.
+
+    The median is a field of the one element of an array, so that it is evaluated once and not for each component.
+    """
     v = F.transform(values, lambda x: x.cast("double"))
-    median = F.get(F.array_sort(F.slice(v, 2, 63)), 31)
-    return F.transform(v, lambda x, i: F.when((i > 0) & (x > median), 1).otherwise(0))
+    median = F.get(F.sort_array(F.slice(v, 2, 63)), 31)
+    once = F.array(F.struct(v.alias("v"), median.alias("m")))
+    bits = F.transform(once, lambda s: F.transform(s.v, lambda x, i: F.when((i > 0) & (x > s.m), 1).otherwise(0)))
+    return F.when(values.isNotNull(), F.get(bits, 0))
 
 
 def packed(bits: Column) -> Column:

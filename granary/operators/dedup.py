@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.functions.hashing import hamming
-from granary.operators.components import connected_components
+from granary.operators.components import FEW_EDGES, connected_components
 
 
 def keyed_groups(rows: DataFrame, key: Column, uid: str, dataset: str) -> DataFrame:
@@ -86,51 +90,105 @@ def overlaps(tiles: DataFrame, uid: str = "image_uid") -> DataFrame:
     return met.select(F.col("source_mosaic").alias("group_key"), "image_uid").distinct()
 
 
+#: Probes of a band at most, share of all pairs that an index may meet, and values of a block that are compared with each other.
+PROBES, SELECTIVE, BLOCK = 200, 1 / 64, 8192
+
+
+def _bands(most: int) -> tuple[int, int, float]:
+    """Bands, errors allowed in one, and the share of random pairs that meet, for the best index of 64 bits at this distance."""
+    found = [(1, most, 1.0)]
+    for bands in range(2, 17):
+        errors, width = most // bands, 64 // bands  # at least one band has no more than its share of errors
+        probes = sum(comb(width + 1, e) for e in range(errors + 1))
+        if probes <= PROBES:
+            found.append((bands, errors, bands * probes / 2**width))
+    return min(found, key=lambda f: f[2])
+
+
 def hamming_pairs(hashes: DataFrame, most: int = 6, value: str = "bits") -> DataFrame:
     """Pairs of distinct 64-bit values at most ``most`` bits apart: ``a, b, distance`` with a < b.
 
-    The value is cut into ``most + 1`` bands (eight at least): within that distance one band is equal in both, so an
-    equi-join on bands loses nothing, for any distance; a pair is kept by the first band it shares.
+    Up to some ten bits, by a multi-index: the value is cut into bands, one of which must have no more than its share of the
+    errors, so every band of one side meets the other side's under each choice of so many flipped bits (at distance 6, four
+    bands of 16 bits with one error: 17 probes a band, about n^2 / 960 rows met); a pair is kept by the first such band.
+    Beyond, no index thins random values, and blocks of values are compared as packed words, each pair of blocks in a task.
     """
-    bands = min(64, max(8, most + 1))
+    distinct = hashes.select(F.col(value).cast("bigint").alias("v")).where("v is not null").distinct()
+    bands, errors, share = _bands(most)
+    if share > SELECTIVE:
+        return _blockwise(distinct, most)
     cuts = [64 * k // bands for k in range(bands + 1)]
-    v = F.col(value)
     band = lambda c, k: F.shiftrightunsigned(c, cuts[k]).bitwiseAND(F.lit((1 << (cuts[k + 1] - cuts[k])) - 1))
-    distinct = hashes.select(v.cast("bigint").alias("v")).where("v is not null").distinct()
-    keyed = distinct.select("v", F.posexplode(F.array(*[band(F.col("v"), k) for k in range(bands)])).alias("band", "part"))
-    a, b = keyed.select("band", "part", F.col("v").alias("a")), keyed.select("band", "part", F.col("v").alias("b"))
+    flips = [[sum(1 << p for p in at) for e in range(errors + 1) for at in combinations(range(cuts[k + 1] - cuts[k]), e)] for k in range(bands)]
+    # a band's number stands above its bits
+    own = F.array(*[band(F.col("v"), k) + F.lit(k << 40) for k in range(bands)])
+    numbered = lambda k: lambda f: (band(F.col("v"), k).bitwiseXOR(f) + F.lit(k << 40)).cast("bigint")
+    probes = F.concat(*[F.transform(F.array(*[F.lit(f).cast("bigint") for f in flips[k]]), numbered(k)) for k in range(bands)])
+    a = distinct.select(F.col("v").alias("a"), F.explode(own).alias("part"))
+    b = distinct.select(F.col("v").alias("b"), F.explode(probes).alias("part"))
     x = F.col("a").bitwiseXOR(F.col("b"))
     earlier = F.lit(False)
     for k in range(bands):
-        earlier = earlier | ((F.col("band") > k) & (band(x, k) == 0))
-    return (
-        a.join(b, ["band", "part"])
-        .where((F.col("a") < F.col("b")) & (hamming(F.col("a"), F.col("b")) <= most) & ~earlier)
-        .select("a", "b", hamming(F.col("a"), F.col("b")).alias("distance"))
-    )
+        earlier = earlier | ((F.col("part") >= F.lit((k + 1) << 40)) & (F.bit_count(band(x, k)) <= errors))
+    met = a.join(b, "part").where((F.col("a") < F.col("b")) & (F.bit_count(x) <= most) & ~earlier)
+    return met.select("a", "b", F.bit_count(x).cast("int").alias("distance"))
+
+
+def _blockwise(distinct: DataFrame, most: int) -> DataFrame:
+    """Pairs of values within a distance, by comparing blocks of about BLOCK values; each value goes to every block once."""
+    blocks = max(1, -(-distinct.count() // BLOCK))
+    dealt = distinct.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = met.select("v", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        low, high = key[0].as_py(), key[1].as_py()
+        v, block = table["v"].to_numpy(), table["block"].to_numpy()
+        left, right = np.sort(v[block == low]), np.sort(v[block == high])
+        found = []
+        for first in range(0, len(left), 128):
+            part = left[first : first + 128]
+            apart = np.bitwise_count(part[:, None].view(np.uint64) ^ right[None, :].view(np.uint64))
+            near = apart <= most
+            if low == high:
+                near &= part[:, None] < right[None, :]
+            i, j = np.nonzero(near)
+            found.append((part[i], right[j], apart[i, j]))
+        x, y, n = (np.concatenate(c) if found else np.zeros(0, np.int64) for c in (zip(*found) if found else [()] * 3))
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "distance": n.astype(np.int32)})
+
+    return met.groupBy("low", "high").applyInArrow(run, "a long, b long, distance int")
 
 
 def perceptual_groups(rows: DataFrame, uid: str = "image_uid", value: str = "bits", most: int = 6) -> DataFrame:
     """Rows whose values chain within ``most`` bits, groups of two rows or more: ``group_key`` (least value), ``image_uid``."""
-    found = connected_components(hamming_pairs(rows, most, value))
+    found = connected_components(hamming_pairs(rows, most, value), one_task=FEW_EDGES)
     known = rows.where(F.col(value).isNotNull()).select(F.col(uid).alias("image_uid"), F.col(value).cast("bigint").alias("v"))
     named = known.join(found, F.col("v") == F.col("node"), "left").select("image_uid", F.coalesce("component", "v").alias("group_key"))
     shared = named.groupBy("group_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group_key")
     return named.join(shared, "group_key", "left_semi").select("group_key", "image_uid")
 
 
-def near_sizes(rows: DataFrame, block: list[str], size: str, uid: str, key: str, tolerance: float = 0.02, most: int = 4000) -> DataFrame:
-    """Neighbours by size within a block of 2 to ``most`` rows, of other content, sizes within the tolerance."""
-    w = Window.partitionBy(*block)
-    by = w.orderBy(size, uid)
-    held = rows.withColumn("_n", F.count(F.lit(1)).over(w))
+def skipped_blocks(rows: DataFrame, block: list[str], most: int = 4000) -> DataFrame:
+    """blocks of more than ``most`` rows, in which ``near_sizes`` looks for nothing, and their rows."""
+    return rows.groupBy(*block).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > most)
+
+
+def near_sizes(rows: DataFrame, block: list[str], size: str, uid: str, key: str, tolerance: float = 0.02, most: int | None = 4000) -> DataFrame:
+    """Neighbours by size within a block of 2 to ``most`` rows (None: any number), of other content, sizes within the tolerance.
+
+    Blocks beyond the limit are counted by an aggregate and never reach a sort; ``skipped_blocks`` names them.
+    """
+    counts = rows.groupBy(*block).agg(F.count(F.lit(1)).alias("_n")).where("_n >= 2")
+    fit = counts if most is None else counts.where(F.col("_n") <= most)
+    held = rows.join(fit.select(*[F.col(c).alias(f"_{c}") for c in block]), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in block], "left_semi")
+    by = Window.partitionBy(*block).orderBy(size, uid)
     step = held.select(
-        *block, F.col(uid).alias("a"), F.col(size).alias("size_a"), F.col(key).alias("_key"), "_n",
+        *block, F.col(uid).alias("a"), F.col(size).alias("size_a"), F.col(key).alias("_key"),
         F.lead(uid).over(by).alias("b"), F.lead(size).over(by).alias("size_b"), F.lead(key).over(by).alias("_next"),
     )
     close = F.abs(F.col("size_b") - F.col("size_a")) / F.col("size_a") <= tolerance
-    fit = (F.col("_n") >= 2) & (F.col("_n") <= most) & F.col("b").isNotNull() & (F.col("size_a") > 0)
-    return step.where(fit & (F.col("_key") != F.col("_next")) & close).select(*block, "a", "b", "size_a", "size_b")
+    return step.where(F.col("b").isNotNull() & (F.col("size_a") > 0) & (F.col("_key") != F.col("_next")) & close).select(*block, "a", "b", "size_a", "size_b")
 
 
 def resume_todo(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.operators.components import connected_components
+from granary.operators.components import FEW_EDGES, connected_components
 from granary.schemas import EVIDENCE
 from granary.session import written
 
@@ -32,7 +32,7 @@ def families(photos: DataFrame, keys: dict[int, Column], site: Column | None = N
     edges = evidence_edges(photos, keys, uid)
     heads = edges.groupBy("rank", "key").agg(F.min("uid").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
     stars = edges.join(heads, ["rank", "key"]).where("uid <> head").select("uid", "head").distinct()
-    found = connected_components(stars, "uid", "head")
+    found = connected_components(stars, "uid", "head", one_task=FEW_EDGES)
     every = photos.select(F.col(uid).alias("uid"), (site if site is not None else F.lit(None)).cast("string").alias("site")).distinct()
     joined = every.join(found, every.uid == found.node, "left").drop("node")
     alone = F.col("component").isNull()

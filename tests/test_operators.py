@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -61,6 +62,41 @@ def test_hamming_pairs(spark, most):
     assert got == {(a, b, apart(a, b)) for i, a in enumerate(known) for b in known[i + 1 :] if apart(a, b) <= most}
 
 
+def test_hamming_blocks_and_many_hashes(spark, monkeypatch):
+    rng = random.Random(5)
+    values = [rng.getrandbits(64) - (1 << 63) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "bits long")
+    apart = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count()
+    monkeypatch.setattr(dedup, "BLOCK", 64)
+    want = {(min(a, b), max(a, b), apart(a, b)) for i, a in enumerate(values) for b in values[i + 1 :] if apart(a, b) <= 24}
+    assert {tuple(r) for r in dedup.hamming_pairs(df, 24).collect()} == want and want
+    assert dedup.hamming_pairs(df.limit(0), 24).count() == 0
+    assert dedup._bands(6)[:2] == (4, 1) and dedup._bands(18)[2] > dedup.SELECTIVE
+    base = [rng.getrandbits(63) for _ in range(25_000)]
+    many = spark.createDataFrame([(v,) for v in base + [b ^ sum(1 << k for k in rng.sample(range(63), 6)) for b in base]], "bits long")
+    began = time.perf_counter()
+    assert dedup.hamming_pairs(many, 6).count() >= 25_000
+    assert time.perf_counter() - began < 60
+
+
+def test_blocks_skipped_by_size(spark):
+    rows = [(k, "d", 1000 + k, str(k)) for k in range(5)] + [(9, None, 10, "a"), (10, None, 10, "b")]
+    df = spark.createDataFrame(rows, "image_uid long, dataset string, size_bytes long, content_key string")
+    near = lambda most: dedup.near_sizes(df, ["dataset"], "size_bytes", "image_uid", "content_key", most=most).count()
+    assert (near(4), near(5), near(None)) == (1, 5, 5)
+    assert [tuple(r) for r in dedup.skipped_blocks(df, ["dataset"], 4).collect()] == [("d", 5)]
+
+
+def test_components_in_one_task_and_in_rounds(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 360)] + [(7, None), (500, 500)]
+    for kind, cast in (("long", int), ("string", lambda x: f"é{x}")):
+        df = spark.createDataFrame([(None if a is None else cast(a), None if b is None else cast(b)) for a, b in pairs], f"a {kind}, b {kind}")
+        one, many = (sorted(map(tuple, components.connected_components(df, one_task=n).collect())) for n in (1000, 0))
+        assert one == many and len({c for _, c in one}) < len(one)
+        assert components.connected_components(df.limit(0), one_task=5).count() == 0
+
+
 def test_overlaps(spark):
     rows = [(k, "m", x, 0, 512, 512) for k, x in enumerate((0, 256, 512, 2000))] + [(9, "", 0, 0, 512, 512), (10, "n", -1, 0, 512, 512)]
     df = spark.createDataFrame(rows, "image_uid long, source_mosaic string, tile_x long, tile_y long, width long, height long")
