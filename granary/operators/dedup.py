@@ -174,6 +174,13 @@ def skipped_blocks(rows: DataFrame, block: list[str], most: int = 4000) -> DataF
     return rows.groupBy(*block).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > most)
 
 
+def perceptual_summary(rows: DataFrame, value: str = "bits") -> DataFrame:
+    """One row: ``hashed`` rows, ``distinct_hashes``, and rows ``sharing`` theirs with another."""
+    per = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return per.agg(total("n").alias("hashed"), F.count(F.lit(1)).alias("distinct_hashes"), total(F.when(F.col("n") > 1, F.col("n"))).alias("sharing"))
+
+
 def near_sizes(rows: DataFrame, block: list[str], size: str, uid: str, key: str, tolerance: float = 0.02, most: int | None = 4000) -> DataFrame:
     """Neighbours by size within a block of 2 to ``most`` rows (None: any number), of other content, sizes within the tolerance.
 

@@ -23,7 +23,7 @@ def build_episodes(
     Photos are numbered within a label and labels within a split by windows over distinct (label, photo) rows; an episode
     draws a label's number and two different photo numbers, so it costs look-ups, not a pass over its label's photos.
     """
-    photos = manifest.where(F.col("split").isin(*per_split))
+    photos = enforce_splits(manifest).where(F.col("split").isin(*per_split))
     if dedup:
         photos = keep_first(photos, F.concat_ws(":", "split", dedup_key(F.col("content_hash"), F.col("content_key"))), order)
     own = photos.select("image_uid", "split", "leakage_group_id")
@@ -74,6 +74,14 @@ def build_episodes(
     )
 
 
+def enforce_splits(manifest: DataFrame) -> DataFrame:
+    """The manifest, or an error if no photo of it has a split; an empty one passes."""
+    there = "split" in manifest.columns
+    if not there or manifest.limit(1).count() and not manifest.where("coalesce(split, '') <> ''").limit(1).count():
+        raise DataQualityError("the manifest has no splits; assign them before building episodes")
+    return manifest
+
+
 def leakage_audit(episodes: DataFrame, manifest: DataFrame) -> DataFrame:
     """One row: episodes, labels, share within one family, same-photo and cross-split counts."""
     split = lambda side: manifest.select(F.col("image_uid").alias(f"{side}_uid"), F.col("split").alias(f"_{side}"))

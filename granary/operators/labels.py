@@ -58,3 +58,9 @@ def apply(instances: DataFrame, decided: DataFrame, raw: str = "label_raw") -> D
     rows = instances.drop("label_canon").join(known, F.col(raw) == F.col("_raw"), "left")
     rows = rows.where(F.coalesce("_decision", F.lit("")) != "drop")
     return rows.withColumn("label_canon", F.coalesce("_canon", F.lit(""))).drop("_raw", "_canon", "_decision")
+
+
+def most_used(instances: DataFrame, label: str = "label_raw", n: int = 5) -> DataFrame:
+    """The ``n`` labels with most instances, ties by label: ``label, n``."""
+    per = instances.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return per.orderBy(F.desc("n"), "label").limit(n)

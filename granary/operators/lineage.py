@@ -96,3 +96,14 @@ def site_overlay(photos: DataFrame, sheet: DataFrame, key: str, columns: list[st
     for c in columns:
         out = out.withColumn(c, F.coalesce(F.nullif(F.trim(f"_{c}"), F.lit("")), F.col(c)))
     return out.withColumn(site, F.coalesce(F.nullif(F.col(site), F.lit("")), fallback)).drop(*[f"_{c}" for c in columns])
+
+
+def reported_keys(report: DataFrame, photos: DataFrame, uid: str = "image_uid") -> DataFrame:
+    """groups of an audit report (``group_key, image_uid``) as evidence: ``uid, key`` of members that the photos still have.
+
+    Members that no photo has any more are stale and go; so do groups with fewer than two members left.
+    """
+    left = report.select("group_key", F.col("image_uid").alias("uid")).distinct()
+    left = left.join(photos.select(F.col(uid).alias("uid")).distinct(), "uid", "left_semi")
+    whole = left.groupBy("group_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group_key")
+    return left.join(whole, "group_key", "left_semi").select("uid", F.col("group_key").alias("key"))

@@ -19,3 +19,8 @@ def exhaustiveness_sample(manifest: DataFrame, instances: DataFrame, n: int = 30
     return picked.join(marks, "image_uid", "left").select(
         F.col("image_name").alias("image"), "dataset", "task_status", F.coalesce("marked", F.lit(0)).alias("marked"), *blank
     )
+
+
+def sampled_marks(sample: DataFrame, instances: DataFrame, uid: str = "image_uid") -> DataFrame:
+    """The marks themselves of sampled photographs, in every column of the instances."""
+    return instances.join(sample.select(uid).distinct(), uid, "left_semi")

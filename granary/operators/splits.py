@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.schemas import SHARES, SPLITS
+from granary.sinks import DataQualityError
 
 
 def assign(sizes: DataFrame, splits: tuple[str, ...] = SPLITS, shares: tuple[float, ...] = SHARES) -> DataFrame:
     """``family, n, split``: families, largest first, each to the pile that is farthest below its target.
 
     The choice for a family needs those before it, so one task reads the sorted families as a stream; it holds five
-    numbers, whatever their count.  Sorting is distributed.  Ties go to the earlier pile.
+    numbers, and sorts the families, which spills.  Ties go to the earlier pile.
     """
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     targets = [s * total for s in shares]
@@ -56,6 +57,14 @@ def leaks(photos: DataFrame, family: str, split: str = "split") -> DataFrame:
     return photos.groupBy(F.col(family).alias("family")).agg(F.countDistinct(split).alias("splits")).where("splits > 1")
 
 
+def enforce_whole_families(photos: DataFrame, family: str, split: str = "split", most: int = 5) -> DataFrame:
+    """The photos, or an error that names families in more than one split, before anything is written."""
+    found = leaks(photos, family, split).orderBy("family").limit(most).collect()
+    if found:
+        raise DataQualityError(f"families in several splits: {[r.family for r in found]}")
+    return photos
+
+
 def split_of_photos(photos: DataFrame, assigned: DataFrame, family: str) -> DataFrame:
     """Photos with the split of their family, empty where it has none."""
     per = assigned.select(F.col("family").alias(family), F.col("split").alias("_split"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from granary.functions import geometry, hashing, labels, lattice, names
 from granary.operators import dedup, episodes, lineage, review, sampling, splits, tiling, validate
 from granary.operators import labels as vocabulary
+from granary.sources import archive, sheets
 from granary.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,7 +126,18 @@ def image_uids(spark, d):
     return table(spark, d, "documents").select("doc_id", names.image_uid(F.col("source"), F.col("doc_id").cast("string")).alias("image_uid"), hashing.content_hash(F.col("text")).alias("content_hash"))
 
 
-@query()
+#: CRC-32 of each byte, by the rule of its polynomial, and the remainder folded over a text's bytes.
+_CRC_STEP = "CASE WHEN {0} % 2 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+_CRC_ROWS = ", ".join(f"c{k} AS (SELECT i, {_CRC_STEP.format('v')} AS v FROM c{k - 1})" for k in range(1, 9))
+
+
+@query(f"""
+WITH c0 AS (SELECT CAST(range AS BIGINT) AS i, CAST(range AS BIGINT) AS v FROM range(256)), {_CRC_ROWS}, crc AS (SELECT list(v ORDER BY i) AS t FROM c8),
+b AS (SELECT page_id, hex(encode(html)) AS h FROM pages),
+r AS (SELECT page_id, len(h) // 2 AS n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda k: CAST('0x' || h[2 * k + 1:2 * k + 2] AS BIGINT))),
+  lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS crc FROM b, crc)
+SELECT page_id, lpad(lower(hex(crc)), 8, '0') || '-' || n AS content_key FROM r
+""")
 def content_keys(spark, d):
     body = F.col("html").cast("binary")
     return table(spark, d, "pages").select("page_id", names.content_key(F.crc32(body), F.octet_length(body)).alias("content_key"))
@@ -281,8 +293,7 @@ def perceptual_components(spark, d):
 
 @query(f"WITH h AS ({_VALUE_SQL}), g AS (SELECT v, count(*) AS n FROM h GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS hashed, count(*) AS distinct_hashes, CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS sharing FROM g")
 def perceptual_stats(spark, d):
-    per = _bits(spark, d).groupBy("bits").agg(F.count(F.lit(1)).alias("n"))
-    return per.agg(F.sum("n").alias("hashed"), F.count(F.lit(1)).alias("distinct_hashes"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("sharing"))
+    return dedup.perceptual_summary(_bits(spark, d))
 
 
 def _tiles(spark, d):
@@ -321,12 +332,12 @@ def near_size_pairs(spark, d):
 
 
 def _families(spark, d):
-    keys = {1: _text_key(), 2: F.md5(F.substring("text", 1, 24)), 3: F.concat_ws(":", "source", "lang", "n_chars")}
+    keys = {1: _text_key(), 2: F.md5(F.lower(F.nullif(F.regexp_replace("text", "[^A-Za-z]+", ""), F.lit("")))), 3: F.concat_ws(":", "source", "lang", "n_chars")}
     return lineage.families(table(spark, d, "documents"), keys, F.col("source"), "doc_id")
 
 
 _FAMILY_SQL = """
-WITH RECURSIVE k AS (SELECT doc_id AS u, 1 AS r, md5(text) AS k FROM documents UNION ALL SELECT doc_id, 2, md5(text[1:24]) FROM documents
+WITH RECURSIVE k AS (SELECT doc_id AS u, 1 AS r, md5(text) AS k FROM documents UNION ALL SELECT doc_id, 2, md5(lower(nullif(regexp_replace(text, '[^A-Za-z]+', '', 'g'), ''))) FROM documents
   UNION ALL SELECT doc_id, 3, source || ':' || lang || ':' || n_chars FROM documents),
 g AS (SELECT r, k, min(u) AS h FROM k GROUP BY 1, 2 HAVING count(*) > 1), s AS (SELECT u, k.r, h FROM k JOIN g ON k.r = g.r AND k.k = g.k),
 e AS (SELECT u AS a, h AS b FROM s UNION SELECT h, u FROM s), c AS (SELECT DISTINCT a AS x, a AS y FROM e UNION SELECT c.x, e.b FROM c JOIN e ON e.a = c.y),
@@ -537,7 +548,9 @@ def few_shot_episodes(spark, d):
 
 
 @query(_EPISODE_SQL.replace("ORDER BY u) - 1 AS ph", "ORDER BY CAST(u AS VARCHAR)) - 1 AS ph") + """
-SELECT count(*) AS episodes, count(DISTINCT label) AS labels, round(coalesce(avg(same_family), 0), 6) AS same_family, count(*) FILTER (support_uid = query_uid) AS same_photo, 0::BIGINT AS cross_split FROM ez
+SELECT count(*) AS episodes, count(DISTINCT label) AS labels, round(coalesce(avg(same_family), 0), 6) AS same_family, count(*) FILTER (support_uid = query_uid) AS same_photo,
+  count(*) FILTER (a.split IS DISTINCT FROM ez.split OR b.split IS DISTINCT FROM ez.split) AS cross_split
+FROM ez LEFT JOIN ph a ON CAST(a.u AS VARCHAR) = support_uid LEFT JOIN ph b ON CAST(b.u AS VARCHAR) = query_uid
 """)
 def episode_leakage_audit(spark, d):
     return episodes.leakage_audit(_episodes(spark, d), _episode_tables(spark, d)[0])
@@ -619,15 +632,98 @@ def normalise_channels(spark, d):
 @query("SELECT p_brand, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY n DESC, p_brand LIMIT 5")
 def top_labels(spark, d):
     lines = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return lines.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p_brand").limit(5)
+    return vocabulary.most_used(lines, "p_brand").withColumnRenamed("label", "p_brand")
 
 
 @query("SELECT event_id, unnest(map_keys(CAST(CAST(props AS JSON) AS MAP(VARCHAR, BIGINT)))) AS k, unnest(map_values(CAST(CAST(props AS JSON) AS MAP(VARCHAR, BIGINT)))) AS v FROM events")
 def json_map_explode(spark, d):
-    return table(spark, d, "events").select("event_id", F.explode(F.from_json("props", "map<string,bigint>")).alias("k", "v"))
+    return table(spark, d, "events").select("event_id", sheets.exploded(F.col("props"), "bigint"))
 
 
 @query("SELECT doc_id AS uid, coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE md5(text) END, ''), source) AS dedup_key FROM documents")
 def dedup_keys(spark, d):
     hashed = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.md5("text"))
     return table(spark, d, "documents").select(F.col("doc_id").alias("uid"), hashing.dedup_key(hashed, F.col("source")).alias("dedup_key"))
+
+
+#: Task folders of the stand-in for archives, in which orders are photographs and line items marks.
+TASKS = 200
+
+
+def _members(spark, d):
+    """Members as the archive source reads them: photographs, and a task.json, manifest.jsonl and annotations.json for each task."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    task, zip_ = lambda c: F.concat(F.lit("task_"), c % TASKS), lambda c: F.concat(F.lit("Set "), c % TASKS % 3, F.lit(".v1.zip"))
+    name = F.concat(F.lit("IMG_"), F.lpad(k.cast("string"), 8, "0"))
+
+    def member(archive_, path, ordinal, content, crc=F.lit(0), size=F.lit(0)):
+        return [
+            archive_.alias("archive"), F.lit(0).alias("archive_ordinal"), path.alias("member"), ordinal.cast("int").alias("ordinal"), crc.cast("bigint").alias("crc"),
+            size.cast("bigint").alias("size_bytes"), content.cast("binary").alias("content"), F.lit(None).cast("string").alias("error"),
+        ]
+
+    t = F.col("o_custkey")
+    photos = o.select(*member(zip_(t), F.concat(task(t), F.lit("/data/"), name, F.lit(".jpg")), k, k.cast("string"), k, F.length(k.cast("string"))))
+    line = F.to_json(F.struct(name.alias("name"), F.lit(".jpg").alias("extension"), (k % 1000 + 1).alias("width"), (k % 700 + 1).alias("height")))
+    listed = o.where(k % 5 != 0).groupBy((t % TASKS).alias("t")).agg(F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", line.alias("line")))).alias("x"))
+    lines = F.concat(F.lit('{"version":"1.1"}\nno json\n'), F.array_join(F.transform("x", lambda r: r.line), "\n"))
+    n = F.col("t")
+    manifests = listed.select(*member(zip_(n), F.concat(task(n), F.lit("/data/manifest.jsonl")), F.lit(-1), lines))
+    info = F.to_json(F.struct(F.concat(F.lit("task "), n).alias("name"), F.when(n % 3 == 0, "completed").otherwise("annotation").alias("status")))
+    infos = listed.where(n % 7 != 0).select(*member(zip_(n), F.concat(task(n), F.lit("/task.json")), F.lit(-2), info))
+    q, i = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double")
+    dot = F.col("l_linenumber") % 2 == 1
+    shape = F.struct(
+        (F.col("l_orderkey") % 50).alias("frame"), F.when(dot, "points").otherwise("rectangle").alias("type"), F.col("l_returnflag").alias("label"),
+        F.when(dot, F.array(q, i)).otherwise(F.array(q + 10, i + 20, q, i)).alias("points"),
+    )
+    drawn = table(spark, d, "lineitem").groupBy((F.col("l_suppkey") % TASKS).alias("t")).agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", shape.alias("s")))).alias("x"))
+    shapes = F.to_json(F.struct(F.transform("x", lambda r: r.s).alias("shapes")))
+    marks = drawn.select(*member(zip_(n), F.concat(task(n), F.lit("/annotations.json")), F.lit(-3), shapes))
+    return photos.unionByName(manifests).unionByName(infos).unionByName(marks)
+
+
+_ARCHIVE_SQL = """
+WITH p AS (SELECT o_orderkey AS k, o_custkey % 200 AS t, o_orderdate AS dt, o_orderkey % 5 <> 0 AS listed FROM orders), l AS (SELECT t, count(*) AS n FROM p WHERE listed GROUP BY 1),
+f AS (SELECT p.*, CASE WHEN listed THEN row_number() OVER (PARTITION BY p.t, listed ORDER BY dt, k) - 1 ELSE coalesce(n, 0) + row_number() OVER (PARTITION BY p.t, listed ORDER BY k) - 1 END AS frame FROM p LEFT JOIN l ON l.t = p.t),
+s AS (SELECT l_suppkey % 200 AS t, l_orderkey % 50 AS frame, row_number() OVER (PARTITION BY l_suppkey % 200, l_orderkey % 50 ORDER BY l_orderkey, l_linenumber, l_returnflag, l_quantity) - 1 AS place, l_returnflag AS label, l_linenumber % 2 = 1 AS dot,
+  CAST(l_quantity AS DOUBLE) AS q, CAST(l_linenumber AS DOUBLE) AS i FROM lineitem),
+m AS (SELECT t, frame, count(*) AS n FROM s GROUP BY 1, 2),
+u AS (SELECT *, 'Set ' || t % 3 || '.v1' AS ds, 'task_' || t || '/data/IMG_' || lpad(CAST(k AS VARCHAR), 8, '0') || '.jpg' AS mb FROM f)
+"""
+
+
+@query(f"""
+{_ARCHIVE_SQL} SELECT sha1(ds || '::' || mb) AS image_uid, ds || '.zip' AS archive, mb AS member, md5(CAST(k AS VARCHAR)) AS content_hash, lpad(lower(hex(k)), 8, '0') || '-' || len(CAST(k AS VARCHAR)) AS content_key, ds AS dataset,
+  CASE WHEN u.t % 7 = 0 THEN '' ELSE 'task ' || u.t END AS task_name, CASE WHEN u.t % 7 = 0 THEN '' WHEN u.t % 3 = 0 THEN 'completed' ELSE 'annotation' END AS task_status, CAST(u.frame AS BIGINT) AS frame_index,
+  CASE WHEN listed THEN k % 1000 + 1 ELSE -1 END AS width, CASE WHEN listed THEN k % 700 + 1 ELSE -1 END AS height, CAST(n IS NOT NULL AS BIGINT) AS has_annotation, CAST(coalesce(n, 0) AS BIGINT) AS n_annotations
+FROM u LEFT JOIN m ON m.t = u.t AND m.frame = u.frame
+""")
+def archive_manifest(spark, d):
+    manifest, _ = archive.catalogue(_members(spark, d))
+    return manifest.select("image_uid", "archive", "member", "content_hash", "content_key", "dataset", "task_name", "task_status", "frame_index", "width", "height", "has_annotation", "n_annotations")
+
+
+@query(f"""
+{_ARCHIVE_SQL} SELECT sha1(ds || '::' || mb) AS image_uid, sha1(ds || '::' || mb) || '-' || place || '-0' AS instance_id, label AS label_raw, CASE WHEN dot THEN 'points' ELSE 'rectangle' END AS shape_type,
+  CASE WHEN dot THEN q ELSE q + 5 END AS x, CASE WHEN dot THEN i ELSE i + 10 END AS y, CASE WHEN dot THEN 0.0::DOUBLE ELSE 10 END AS w, CASE WHEN dot THEN 0.0::DOUBLE ELSE 20 END AS h, CASE WHEN dot THEN 0.0::DOUBLE ELSE 200 END AS area_px
+FROM u JOIN s ON s.t = u.t AND s.frame = u.frame
+""")
+def archive_instances(spark, d):
+    _, instances = archive.catalogue(_members(spark, d))
+    return instances.select("image_uid", "instance_id", "label_raw", "shape_type", "x", "y", "w", "h", "area_px")
+
+
+@query("""
+WITH g AS (SELECT md5(text) AS k, doc_id FROM documents WHERE doc_id % 3 <> 0), w AS (SELECT k FROM g WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1 HAVING count(*) > 1)
+SELECT doc_id AS uid, k AS key FROM g WHERE doc_id IN (SELECT doc_id FROM labels) AND k IN (SELECT k FROM w)
+""")
+def reported_groups(spark, d):
+    report = table(spark, d, "documents").where("doc_id % 3 <> 0").select(_text_key().alias("group_key"), F.col("doc_id").alias("image_uid"))
+    return lineage.reported_keys(report, table(spark, d, "labels"), "doc_id")
+
+
+@query("SELECT lineitem.* FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders ORDER BY md5('5:' || o_orderkey), o_orderkey LIMIT 50)")
+def sampled_marks(spark, d):
+    picked = sampling.fixed_sample(table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")), 50, 5, "l_orderkey")
+    return review.sampled_marks(picked, table(spark, d, "lineitem"), "l_orderkey")

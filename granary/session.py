@@ -30,6 +30,8 @@ def shared_folder(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="granary-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -42,10 +42,14 @@ def next_version(spark: SparkSession, df: DataFrame, root: str) -> str:
     return f"{root}/v={n}"
 
 
-def write_report(summary: dict, path: str) -> None:
-    """K5: a bounded summary as JSON; groups are written as tables beside it."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(summary, f, indent=2, sort_keys=True)
+def write_report(spark: SparkSession, summary: dict, path: str) -> None:
+    """K5: a bounded summary as JSON, wherever Spark can write; groups are written as tables beside it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps(summary, indent=2, sort_keys=True).encode()))
+    finally:
+        out.close()
 
 
 def split_document(assigned: DataFrame, families: DataFrame, seed: int) -> dict:

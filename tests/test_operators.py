@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import time
 from collections import defaultdict
@@ -10,9 +11,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from granary import schemas, sinks
+from granary import schemas, session, sinks
 from granary.functions.geometry import mapped_point
 from granary.operators import components, dedup, episodes, images, labels, lineage, sampling, splits, tiling, validate
+from granary.sources import sheets
 from granary.streaming import resume
 
 
@@ -234,7 +236,7 @@ def test_points_follow_pixels(spark):
                 turned = np.rot90(plain[:: -1 if fy else 1, :: -1 if fx else 1], k)
                 for y in range(h):
                     for x in range(w):
-                        px, py = images.Applied(fx, fy, k).map_points(np.array([x]), np.array([y]), w, h)
+                        px, py = images.Pose(fx, fy, k).points(np.array([x]), np.array([y]), w, h)
                         assert turned[py[0], px[0]] == plain[y, x]
                         cases.append((x, y, fx, fy, k))
                         want[cases[-1]] = (int(px[0]), int(py[0]))
@@ -278,3 +280,94 @@ def test_streams(spark, tmp_path):
     assert resume.resume_stage(spark, source, "id long", out, state, stage) == 8
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     assert resume.windowed_counts(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+# -- sinks, gates, sheets, decoding -----------------------------------------------------------------------------------------
+
+
+def test_table_and_report(spark, tmp_path):
+    sinks.write_table(spark.range(3), f"{tmp_path}/t")
+    sinks.write_table(spark.range(2), f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 2
+    sizes = spark.createDataFrame([("a", 6), ("b", 1), ("c", 1)], "family string, n long")
+    assigned = splits.assign(sizes)
+    found = sinks.split_document(splits.summary(assigned), assigned, 7)
+    assert found["seed"] == 7 and found["photographs"] == 8 and found["families"] == 3 and found["splits"]["train"]["photographs"] == 6
+    sinks.write_report(spark, found, f"{tmp_path}/report.json")
+    assert json.loads((tmp_path / "report.json").read_text()) == found
+
+
+def test_gates_that_raise(spark):
+    photos = spark.createDataFrame([(1, "f", "train"), (2, "f", "dev_cal"), (3, "g", "train")], "image_uid long, fam string, split string")
+    with pytest.raises(sinks.DataQualityError, match="f"):
+        splits.enforce_whole_families(photos, "fam")
+    assert splits.enforce_whole_families(photos.where("fam = 'g'"), "fam").count() == 1
+    assert episodes.enforce_splits(photos) is photos and episodes.enforce_splits(photos.limit(0)).count() == 0
+    for bad in (photos.drop("split"), photos.withColumn("split", F.lit(""))):
+        with pytest.raises(sinks.DataQualityError, match="no splits"):
+            episodes.enforce_splits(bad)
+
+
+def test_gate_with_ontology_and_lineage(spark):
+    def table(schema, *rows):
+        return spark.createDataFrame([{f.name: r.get(f.name) for f in schema} for r in rows], schema)
+
+    manifest = table(schemas.MANIFEST, *[{"image_uid": u, "task_status": "completed", "width": 9, "height": 9} for u in "ab"])
+    own = {"shape_type": "points", "x": 1.0, "y": 1.0, "w": 0.0, "h": 0.0, "area_px": 0.0}
+    instances = table(schemas.INSTANCES, {"image_uid": "a", "label_raw": "known", "label_canon": "k", **own}, {"image_uid": "b", "label_raw": "new", "label_canon": "", **own})
+    ontology = table(schemas.ONTOLOGY, {"label_raw": "known", "label_canon": "k"})
+    families = table(schemas.LINEAGE, {"image_uid": "a", "leakage_group_id": "g1"})
+    bad = {r["check"]: r.bad for r in validate.run_gate(manifest, instances, ontology, families).collect()}
+    assert bad["label approved"] == 1 and bad["canon filled"] == 1 and bad["photo has family"] == 1 and bad["enough families"] == 29
+    assert "ontology table" not in bad and "lineage table" not in bad
+
+
+def test_audit_counts_what_leaks(spark):
+    manifest = spark.createDataFrame([("a", "train", "A.zip", "m1"), ("b", "dev_cal", "B.zip", "m2")], "image_uid string, split string, archive string, member string")
+    made = spark.createDataFrame([("e1", "train", "x", "a", "a", 1), ("e2", "train", "x", "a", "b", 0), ("e3", "dev_cal", "y", "b", "gone", 0)], "episode_id string, split string, label string, support_uid string, query_uid string, same_family long")
+    audit = episodes.leakage_audit(made, manifest)
+    r = audit.first()
+    assert (r.episodes, r.labels, r.same_photo, r.cross_split) == (3, 2, 1, 2)
+    with pytest.raises(sinks.DataQualityError):
+        episodes.enforce_audit(audit)
+    found = {r.episode_id: (r.support_archive, r.query_member) for r in episodes.with_members(made, manifest).collect()}
+    assert found == {"e1": ("A.zip", "m1"), "e2": ("A.zip", "m2")}
+
+
+def test_sheets_and_reports(spark, tmp_path):
+    (tmp_path / "sites.csv").write_text('dataset,farm,note\nd1,F one,"a, ""b""\nc"\nd2,,\n')
+    sheet = sheets.read_sheet(spark, f"{tmp_path}/sites.csv", ["dataset", "farm"])
+    assert [tuple(r) for r in sheet.orderBy("dataset").collect()] == [("d1", "F one", 'a, "b"\nc'), ("d2", "", "")]
+    with pytest.raises(schemas.SchemaError):
+        sheets.read_sheet(spark, f"{tmp_path}/sites.csv", ["site_id"])
+    (tmp_path / "r.json").write_text(json.dumps({"n": 2, "near": {"g": ["a", "b", "gone"], "h": ["c", "stale"], "i": []}}, indent=1))
+    report = sheets.read_groups(spark, f"{tmp_path}/r.json", "near")
+    assert sorted(map(tuple, report.collect())) == [("g", "a"), ("g", "b"), ("g", "gone"), ("h", "c"), ("h", "stale")]
+    photos = spark.createDataFrame([("a",), ("b",), ("c",)], "image_uid string")
+    assert sorted(map(tuple, lineage.reported_keys(report, photos).collect())) == [("a", "g"), ("b", "g")]
+    assert sheets.read_groups(spark, f"{tmp_path}/r.json", "missing").count() == 0
+
+
+def test_decoded_photographs(spark):
+    def ppm(data):
+        head, size, top, body = data.split(b"\n", 3)
+        w, h = map(int, size.split())
+        return np.frombuffer(body, np.uint8).reshape(h, w, 3)
+
+    pixels = bytes(range(18))
+    rows = [("a", b"P6\n3 2\n255\n" + pixels), ("b", b"broken"), ("c", None)]
+    got = images.decoded(spark.createDataFrame(rows, "image_uid string, content binary"), ppm).orderBy("image_uid").collect()
+    assert [tuple(r)[1:] for r in got] == [(pixels, 2, 3), (None, None, None), (None, None, None)]
+
+
+def test_only_one_machine_makes_its_own_shared_folder():
+    class Context:
+        master = "spark://elsewhere:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": lambda self, key, default: default})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
