@@ -85,11 +85,34 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def license_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op2 SQL can say: the base places (-1 for no place)."""
+    places = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("first_word", "last_word")]
+    return op2_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", *places, "base_labels")
+
+
+def quality_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7 SQL can say: the statistics and the base rules."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def packing_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4 SQL can say: the pieces of each document, and that no bin of one breaks a rule."""
+    placed = op4_bestfit_packing(spark, sf_dir)
+    n = F.count(F.lit(1))
+    of_bin = placed.groupBy("bin_id").agg(F.sum("n_words").alias("held"), F.max("bin_words").alias("told"), n.alias("pieces"), F.countDistinct("cluster").alias("clusters"))
+    of_source = placed.groupBy("bin_id", "source").agg(n.alias("n")).groupBy("bin_id").agg(F.max("n").alias("most"))
+    broken = (F.col("held") > bestfit_packing.CAPACITY) | (F.col("held") != F.col("told")) | (F.col("pieces") > F.col("clusters")) | (F.col("most") > bestfit_packing.SOURCE_SLOTS)
+    judged = of_bin.join(of_source, "bin_id").select("bin_id", broken.alias("broken"))
+    per = placed.join(judged, "bin_id").groupBy("doc_id")
+    return per.agg(n.alias("pieces"), F.sum("n_words").alias("n_words"), F.max("first_word").alias("last_piece"), F.count_if("broken").alias("broken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_dedup, op2_license_scan, op3_maxscore_search, op4_bestfit_packing, op5_secret_scan, op6_toxicity,
-        op7_quality_rules, op8_sentencepiece, op9_html_wrappers, op10_language_id,
+        op7_quality_rules, op8_sentencepiece, op9_html_wrappers, op10_language_id, license_base_columns, quality_base_columns, packing_by_document,
     )
 }
 
@@ -98,7 +121,31 @@ _WORDS_LOWER = (
     "'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
 )
 
+_WORDS = "list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+_FOLDED = _WORDS_LOWER.replace("[\\x20\\x09-\\x0D]", "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]")
+
 ORACLES: dict[str, str] = {
+    "license_base_columns": f"""
+WITH w AS (SELECT doc_id, {_FOLDED} AS ws FROM documents),
+p(phrase, label) AS (VALUES (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'), (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')),
+h AS (SELECT doc_id, label, unnest(list_filter(range(1, len(ws) + 1), lambda i: ws[i] = phrase[1] AND ws[i:i + len(phrase) - 1] = phrase)) - 1 AS pos FROM w, p),
+g AS (SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM h GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, coalesce(lo, -1) AS first_word, coalesce(hi, -1) AS last_word, coalesce(labels, '') AS base_labels FROM w LEFT JOIN g ON g.doc_id = w.doc_id
+""",
+    "quality_base_columns": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+c AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+v AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM d), x AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s FROM v),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM x) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM m) GROUP BY 1)
+SELECT c.doc_id, n_words, word_chars, n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+  n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed FROM c LEFT JOIN r ON r.doc_id = c.doc_id
+""",
+    "packing_by_document": f"""
+WITH w AS (SELECT doc_id, CAST(len({_WORDS}) AS BIGINT) AS n FROM documents)
+SELECT doc_id, greatest(1, (n + 4095) // 4096) AS pieces, n AS n_words, (greatest(1, (n + 4095) // 4096) - 1) * 4096 AS last_piece, 0::BIGINT AS broken FROM w
+""",
     "op1_minhash_dedup": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_LOWER} AS ws FROM documents),
 s AS (

@@ -887,7 +887,7 @@ def test_queries_equal_sql(spark, sf, name):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     got = catalog.QUERIES[name](spark, sf).toPandas()
     want = c.execute(catalog.ORACLES[name]).df()[got.columns]
-    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist())) and len(got)
 
 
 def test_pipeline_equals_plain_steps(spark, sf):
