@@ -416,7 +416,8 @@ def test_secrets_planted_in_documents(spark):
 def test_vocabulary(spark):
     docs = documents(spark, ["lorem ipsum lorem dolor", "Lorem; ABC", None, ""])
     known = secret_scan.vocabulary(docs, most=2)
-    assert known.words == secret_scan.DICTIONARY | {"lorem", "dolor"} and np.allclose(np.exp(known.transitions).sum(axis=1), 1)
+    assert known.words == secret_scan.DICTIONARY | {"lorem"} and np.allclose(np.exp(known.transitions).sum(axis=1), 1)
+    assert secret_scan.vocabulary(docs, most=3).words == secret_scan.DICTIONARY | {"lorem", "ipsum", "dolor"} and secret_scan.vocabulary(docs, most=0).words == secret_scan.DICTIONARY
     assert secret_scan.vocabulary(docs.limit(0)).words == secret_scan.DICTIONARY
     assert secret_scan.features("x", 0, 1, "run")[secret_scan.NAMES.index("length")] == 1 and len(secret_scan.features("x", 0, 1, "run")) == len(secret_scan.NAMES)
 
