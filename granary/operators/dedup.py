@@ -71,23 +71,29 @@ def tile_sizes(tiles: DataFrame) -> DataFrame:
 def overlaps(tiles: DataFrame, uid: str = "image_uid") -> DataFrame:
     """Tiles that overlap another of their map: ``group_key, image_uid``.
 
-    Tiles meet through buckets as wide as the median tile: two that overlap lie in the same or in neighbouring buckets,
-    so a large map costs its neighbourhoods, not its square.
+    Tiles meet in cells as wide and high as the median tile.  All tiles of a cell that holds two or more overlap, whatever
+    their places in it; only a tile alone in its cell is compared with those of the eight cells around, so a map costs a
+    multiple of its tiles, however dense it is.  Joins are by shuffle: one whose sides are tiles may not be sent to all.
     """
-    sized = tiles.where("tile_x >= 0 and tile_y >= 0").join(tile_sizes(tiles), "source_mosaic")
+    sized = tiles.where((F.col("tile_x") >= 0) & (F.col("tile_y") >= 0) & F.col(uid).isNotNull())
+    sized = sized.join(tile_sizes(tiles).hint("shuffle_hash"), "source_mosaic")
+    cell = ["source_mosaic", "bx", "by"]
     own = sized.select(
         "source_mosaic", F.col(uid).alias("image_uid"), "tile_x", "tile_y", "w", "h",
-        F.floor(F.col("tile_x") / F.col("w")).alias("bx"), F.floor(F.col("tile_y") / F.col("h")).alias("by"),
+        F.expr("floor(tile_x) div w").alias("bx"), F.expr("floor(tile_y) div h").alias("by"),
     )
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = own.withColumn("step", F.explode(steps)).select(
-        "source_mosaic", F.col("image_uid").alias("other"), F.col("tile_x").alias("ox"), F.col("tile_y").alias("oy"),
+    cells = own.groupBy(*cell).agg((F.min("image_uid") == F.max("image_uid")).alias("alone"))
+    placed = own.join(cells.hint("merge"), cell)
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
+    alone = placed.where("alone").withColumn("step", F.explode(steps)).select(
+        "source_mosaic", "image_uid", "tile_x", "tile_y", "w", "h",
         (F.col("bx") + F.col("step.i")).alias("bx"), (F.col("by") + F.col("step.j")).alias("by"),
     )
-    met = own.join(near, ["source_mosaic", "bx", "by"]).where(
-        "image_uid <> other and abs(tile_x - ox) < w and abs(tile_y - oy) < h"
-    )
-    return met.select(F.col("source_mosaic").alias("group_key"), "image_uid").distinct()
+    near = own.select(*[F.col(c).alias(f"_{c}") for c in cell], F.col("image_uid").alias("other"), F.col("tile_x").alias("ox"), F.col("tile_y").alias("oy"))
+    same = [F.col(c) == F.col(f"_{c}") for c in cell]
+    met = alone.join(near.hint("merge"), [*same, F.expr("image_uid <> other and abs(tile_x - ox) < w and abs(tile_y - oy) < h")], "left_semi")
+    key = F.col("source_mosaic").alias("group_key")
+    return placed.where("not alone").select(key, "image_uid").unionByName(met.select(key, "image_uid")).distinct()
 
 
 #: Probes of a band at most, share of all pairs that an index may meet, and values of a block that are compared with each other.

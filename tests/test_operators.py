@@ -105,6 +105,31 @@ def test_overlaps(spark):
     assert sorted(r.image_uid for r in dedup.overlaps(df).collect()) == [0, 1, 2]
 
 
+def test_overlaps_sends_no_tiles_to_all(spark):
+    """Tiles of few bytes a row were broadcast by way of the driver, whose memory they filled."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        tiles = spark.range(200).selectExpr("id AS image_uid", "'m' || id % 2 AS source_mosaic", "id * 7 AS tile_x", "0L AS tile_y", "20L AS width", "20L AS height")
+        found = dedup.overlaps(tiles)
+        assert found.count() == 200
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_overlaps_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(k % 390 if k % 50 else None, f"m{k % 4}", *(rng.randrange(-1, (60, 300, 900, 3000)[k % 4]) for _ in "xy"), rng.choice((19, 20, 21)), rng.choice((30, 31))) for k in range(400)]
+    df = spark.createDataFrame(rows, "image_uid long, source_mosaic string, tile_x long, tile_y long, width long, height long")
+    size = {r.source_mosaic: (r.w, r.h) for r in dedup.tile_sizes(df).collect()}
+    known = [r for r in rows if r[0] is not None and r[2] >= 0 and r[3] >= 0]
+    near = lambda a, b: a[0] != b[0] and a[1] == b[1] and abs(a[2] - b[2]) < size[a[1]][0] and abs(a[3] - b[3]) < size[a[1]][1]
+    want = {(a[1], a[0]) for a in known if any(near(a, b) for b in known)}
+    got = [tuple(r) for r in dedup.overlaps(df).select("group_key", "image_uid").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 50 < len(want) < len(known)
+
+
 def test_near_sizes(spark):
     rows = [(1, "d", 1000, "a"), (2, "d", 1015, "b"), (3, "d", 1100, "c"), (4, "e", 5, "a"), (5, "d", 1015, "b")]
     df = spark.createDataFrame(rows, "image_uid long, dataset string, size_bytes long, content_key string")
