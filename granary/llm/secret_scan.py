@@ -13,7 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 from math import log2
 
 import numpy as np
@@ -44,6 +44,7 @@ _ASSIGNED = re.compile(
     r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_\- ]?key|access[_\- ]?key|auth|credential)s?[\"']?\s*[:=]+>?\s*[\"'`]?([^\s\"'`,;<>]{8,})", re.I
 )
 _BEFORE = re.compile(r"[A-Za-z]+")
+_HEXADECIMAL = frozenset("0123456789abcdef")
 
 #: Words that announce a secret, words that announce something else, and words that candidates may be made of.
 SECRET_WORDS = frozenset("secret token password passwd pwd passphrase key apikey auth credential credentials bearer authorization access private aws".split())
@@ -106,6 +107,11 @@ class Vocabulary:
             np.add.at(pairs, (at[:-1], at[1:]), n)
         return Vocabulary(frozenset(counts) | DICTIONARY, np.log(pairs / pairs.sum(axis=1, keepdims=True)))
 
+    @cached_property
+    def beginnings(self) -> frozenset[str]:
+        """The first four letters of the words that have so many."""
+        return frozenset(w[:4] for w in self.words if len(w) >= 4)
+
 
 def vocabulary(docs: DataFrame, text_col: str = "text", most: int = MOST_WORDS) -> Vocabulary:
     """The ``most`` words of four to MOST_LETTERS letters a to z that occur most often in all texts, and their transitions.
@@ -127,14 +133,17 @@ def vocabulary(docs: DataFrame, text_col: str = "text", most: int = MOST_WORDS)
     return Vocabulary.of(kept)
 
 
-def _coverage(s: str, words: frozenset[str]) -> float:
+def _coverage(s: str, known: Vocabulary) -> float:
     """Share of the characters that dictionary words of four letters or more cover, longest first from the left."""
     covered = 0
     for m in re.finditer("[a-z]{4,}", s.lower()):
         low, at = m.group(), 0
         while at < len(low) - 3:
+            if low[at : at + 4] not in known.beginnings:
+                at += 1
+                continue
             for n in range(min(MOST_LETTERS, len(low) - at), 3, -1):
-                if low[at : at + n] in words:
+                if low[at : at + n] in known.words:
                     covered += n
                     at += n
                     break
@@ -144,21 +153,23 @@ def _coverage(s: str, words: frozenset[str]) -> float:
 
 
 def features(text: str, start: int, end: int, kind: str, known: Vocabulary | None = None) -> list[float]:
-    """What the forest sees of a candidate; of a long one, its first thousand characters but for its length."""
+    """What the forest sees of a candidate, all of it, in time and memory in proportion to its length."""
     known = known or _plain()
-    s = text[start : min(end, start + 1000)]
+    s = text[start:end]
     n = max(1, len(s))
-    classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in s]
     counts = Counter(s)
+    classes = s.translate({ord(c): "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in counts})
     entropy = -sum(k / n * log2(k / n) for k in counts.values())
-    runs = max((len(x) for x in re.findall(r"[a-z]+|[A-Z]+|\d+", s)), default=0)
+    runs = max((m.end() - m.start() for m in re.finditer(r"[a-z]+|[A-Z]+|\d+", s)), default=0)
     low = s.lower()
-    letters = [[ord(c) - 97 for c in x] for x in re.findall("[a-z]{2,}", low)]
-    steps = [known.transitions[a, b] for x in letters for a, b in zip(x, x[1:])]
+    pairs = [(a, b, k) for (a, b), k in Counter(zip(low, low[1:])).items() if "a" <= a <= "z" and "a" <= b <= "z"]
+    steps = sum(k * known.transitions[ord(a) - 97, ord(b) - 97] for a, b, k in pairs)
     near, beyond = text[max(0, start - NEAR) : start], text[end : end + NEAR]
     if kind == "block":
         near += s[: s.find("-----", 10)]
     words = [w.lower() for w in _BEFORE.findall(near)][-4:]
+    if kind == "block":
+        words = [w for w in words if w != "key"]  # public keys are called so as well
     after = [w.lower() for w in _BEFORE.findall(beyond)][:3]
     tail = near.rstrip("\"'` \t=:>")
     return [
@@ -168,13 +179,13 @@ def features(text: str, start: int, end: int, kind: str, known: Vocabulary | Non
         classes.count("l") / n,
         classes.count("o") / n,
         entropy,
-        sum(a != b for a, b in zip(classes, classes[1:])) / n,
+        sum(classes.count(a + b) for a in "dulo" for b in "dulo" if a != b) / n,
         len(counts) / n,
         runs / n,
-        sum(c in "aeiou" for c in low) / n,
-        float(all(c in "0123456789abcdef" for c in low)),
-        _coverage(s, known.words),
-        float(sum(steps) / len(steps)) if steps else -4.0,
+        sum(low.count(c) for c in "aeiou") / n,
+        float(set(low) <= _HEXADECIMAL),
+        _coverage(s, known),
+        float(steps / sum(k for _, _, k in pairs)) if pairs else -4.0,
         float(s.count("/")),
         float(s.count("-") + s.count("_")),
         max(counts.values(), default=0) / n,
