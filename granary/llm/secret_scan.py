@@ -254,7 +254,8 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, l
             impurity[(values[1:] == values[:-1]) | (n < leaf) | (len(rows) - n < leaf)] = np.inf
             k = int(np.argmin(impurity))
             if impurity[k] < best[0]:
-                best = (float(impurity[k]), int(f), float((values[k] + values[k + 1]) / 2))
+                middle = float((values[k] + values[k + 1]) / 2)  # of neighbouring floats, it may be the larger one
+                best = (float(impurity[k]), int(f), middle if middle < values[k + 1] else float(values[k]))
         if best[1] < 0:
             return me
         feature[me], threshold[me] = best[1], best[2]
